@@ -2,22 +2,29 @@
 
 A list is one value in one row, so its length needs a bound. Parents whose children fit ``page_size``
 get exactly one list. A parent with more gets the first page in its own row and every further page
-in a continuation row, so nothing is dropped and no group is ever collected whole.
+in a continuation row, so nothing is dropped and no list grows without limit.
+
+Children are shuffled once, by parent: sorted in their partition, numbered, and cut into pages there.
+Parents that hold a large share of all children take another way, in which their children are
+spread by range over all tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyweave.operators.joins import keyed_join
+from keyweave.operators.joins import frequent_keys
 from keyweave.operators.ordering import with_group_positions
-from keyweave.session import materialize
+from keyweave.session import exceeds_partition
 
 PAGE_SIZE = 10_000
 
+# Share of all children from which one parent takes the way of huge groups.
+HUGE_SHARE = 0.0001
+
 
 def embed(
     parents: DataFrame,
@@ -32,40 +39,44 @@ def embed(
 ) -> DataFrame:
     """Add the list ``into`` (sorted by its fields in turn), the child ``count`` and the ``page``.
 
-    Childless parents get an empty list and 0; children without a parent vanish. There is one row
-    per parent and page, so one row per parent unless it has more than ``page_size`` children.
-
-    A first pass reads only the children's key column and looks for groups above ``page_size``;
-    there are at most rows / page_size of them and usually none.
+    ``key`` is unique in ``parents``. Childless parents get an empty list and 0; children without a
+    parent vanish. There is one row per parent and page, so one row per parent unless it has more
+    than ``page_size`` children.
     """
-    linked = children.filter(F.col(fk).isNotNull())
-    lines = linked.select(
+    lines = children.filter(F.col(fk).isNotNull()).select(
         F.col(fk).alias("__fk"), F.struct(*[c.alias(n) for n, c in fields.items()]).alias("__child")
     )
-    sizes = linked.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__size"))
-    large = sizes.filter(F.col("__size") > page_size)
-    if large.isEmpty():
-        return _attach_first(parents, key, _whole_lists(lines), into, count, page)
-
-    large = materialize(large)
-    keys = large.select("__fk")
-    usual = _whole_lists(keyed_join(lines, keys, "__fk", "__fk", "left_anti"))
-    pages = materialize(_paged_lists(keyed_join(lines, keys, "__fk", "__fk", "left_semi"), large, page_size))
-    first = usual.unionByName(pages.filter(F.col("__page") == 0).drop("__page"))
-    further = _shape(pages.filter(F.col("__page") > 0), into, count, page)
-    continued = keyed_join(further, parents.withColumn("__parent", F.col(key)), "__fk", "__parent", "inner")
-    return _attach_first(parents, key, first, into, count, page).unionByName(continued.drop("__fk"))
-
-
-def _whole_lists(lines: DataFrame) -> DataFrame:
-    """One list per key; only for groups of bounded size."""
-    return lines.groupBy("__fk").agg(F.array_sort(F.collect_list("__child")).alias("__list")).withColumn(
-        "__size", F.size("__list").cast("bigint")
+    huge = frequent_keys(children, F.col(fk), HUGE_SHARE) if exceeds_partition(children) else []
+    if not huge:
+        return _attach(parents, key, _lists(lines, page_size), into, count, page, "left")
+
+    in_lines, in_parents = F.col("__fk").isin(huge), F.coalesce(F.col(key).isin(huge), F.lit(False))
+    usual = _attach(
+        parents.filter(~in_parents), key, _lists(lines.filter(~in_lines), page_size), into, count, page, "left"
+    )
+    # A huge parent has children, so an inner join keeps it; there are at most 1 / HUGE_SHARE of them.
+    spread = _huge_lists(lines.filter(in_lines), page_size)
+    return usual.unionByName(
+        _attach(F.broadcast(parents.filter(in_parents)), key, spread, into, count, page, "inner")
     )
 
 
-def _paged_lists(lines: DataFrame, large: DataFrame, page_size: int) -> DataFrame:
-    """Lists of huge groups: equal children are counted first, then placed, then cut into pages."""
+def _lists(lines: DataFrame, page_size: int) -> DataFrame:
+    """Pages of each group. All steps share the one shuffle by ``__fk``."""
+    ordered = Window.partitionBy("__fk").orderBy("__child")
+    numbered = lines.select(
+        "__fk",
+        "__child",
+        F.floor((F.row_number().over(ordered) - 1) / page_size).alias("__page"),
+        F.count(F.lit(1)).over(Window.partitionBy("__fk")).alias("__size"),
+    )
+    return numbered.groupBy("__fk", "__page").agg(
+        F.array_sort(F.collect_list("__child")).alias("__list"), F.first("__size").alias("__size")
+    )
+
+
+def _huge_lists(lines: DataFrame, page_size: int) -> DataFrame:
+    """The same for huge groups: equal children are counted first, then placed, then cut into pages."""
     counted = lines.groupBy("__fk", "__child").agg(F.count(F.lit(1)).alias("__copies"))
     placed = with_group_positions(counted, ["__fk"], ["__child"], weight="__copies", name="__start")
     start, end, size = F.col("__start"), F.col("__start") + F.col("__copies"), F.lit(page_size)
@@ -74,31 +85,30 @@ def _paged_lists(lines: DataFrame, large: DataFrame, page_size: int) -> DataFram
     )
     low = F.greatest(start, F.col("__page") * size)
     high = F.least(end, (F.col("__page") + 1) * size)
-    run = F.struct(start.alias("at"), F.array_repeat("__child", (high - low).cast("int")).alias("copies"))
+    run = F.struct(low.alias("at"), F.array_repeat("__child", (high - low).cast("int")).alias("copies"))
     pages = in_page.groupBy("__fk", "__page").agg(F.array_sort(F.collect_list(run)).alias("__runs")).select(
         "__fk", "__page", F.flatten(F.transform("__runs", lambda part: part["copies"])).alias("__list")
     )
-    return keyed_join(pages, large.withColumnRenamed("__fk", "__large"), "__fk", "__large", "inner")
+    # One row per huge group.
+    sizes = placed.groupBy("__fk").agg(F.sum("__copies").alias("__size"))
+    return pages.join(F.broadcast(sizes), "__fk")
 
 
-def _shape(lists: DataFrame, into: str, count: str, page: str) -> DataFrame:
-    return lists.select(
+def _attach(
+    parents: DataFrame, key: str, lists: DataFrame, into: str, count: str, page: str, how: str
+) -> DataFrame:
+    """Join the lists, already partitioned by parent. Their size is not known to the optimizer, so
+    the merge join is asked for instead of a broadcast of lists."""
+    shaped = lists.select(
         "__fk", F.col("__list").alias(into), F.col("__size").alias(count), F.col("__page").cast("bigint").alias(page)
     )
-
-
-def _attach_first(
-    parents: DataFrame, key: str, first: DataFrame, into: str, count: str, page: str
-) -> DataFrame:
-    lists = _shape(first.withColumn("__page", F.lit(0)), into, count, page)
-    empty = F.array().cast(lists.schema[into].dataType)
+    empty = F.array().cast(shaped.schema[into].dataType)
     zero = F.lit(0).cast("bigint")
+    side = shaped.hint("merge") if how == "left" else shaped
     return (
-        parents.join(lists, F.col(key) == F.col("__fk"), "left")
+        parents.join(side, F.col(key) == F.col("__fk"), how)
         .drop("__fk")
-        .withColumns(
-            {into: F.coalesce(into, empty), count: F.coalesce(count, zero), page: F.coalesce(page, zero)}
-        )
+        .withColumns({into: F.coalesce(into, empty), count: F.coalesce(count, zero), page: F.coalesce(page, zero)})
     )
 
 

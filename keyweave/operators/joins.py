@@ -7,6 +7,8 @@ Three cases, decided per join:
 * The side is too big and some keys are frequent: rows of those keys are spread over salts, and
   only the matching rows of the unique side are copied once per salt.
 * The side is too big and no key is frequent: a plain shuffle join, with NULL keys spread.
+
+A left side no larger than one shuffle partition is not searched for frequent keys.
 """
 
 from __future__ import annotations
@@ -15,18 +17,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyweave.functions.keys import is_linked
-from keyweave.session import fits_broadcast, shuffle_partitions
+from keyweave.session import exceeds_partition, fits_broadcast, shuffle_partitions
 
 # Share of the rows from which a key counts as frequent: at most 1 / HOT_SHARE keys can reach it.
 HOT_SHARE = 0.001
 
+# How much wider a dimension may have become through the lookups made for it.
+ENRICHED = 4
+
 _KEY, _SALT, _LEFT_KEY, _LEFT_SALT = "__key", "__salt", "__left_key", "__left_salt"
 
 
 def frequent_keys(df: DataFrame, key: Column, share: float = HOT_SHARE) -> list:
-    """Every key above ``share`` of the rows (a bounded list, possibly with a few rarer keys)."""
-    found = df.select(key.alias(_KEY)).filter(F.col(_KEY).isNotNull()).freqItems([_KEY], share).first()
-    return [] if found is None or found[0] is None else sorted(found[0])
+    """Every key above ``share`` of the rows: at most 1 / ``share`` values, some of them rarer.
+
+    One pass over the key column with a bounded counter per task, without a shuffle of keys.
+    """
+    present = df.select(key.alias(_KEY)).filter(F.col(_KEY).isNotNull())
+    found = present.freqItems([_KEY], share).first()
+    return [] if found is None or found[0] is None else list(found[0])
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], order_by: list[Column] | None = None) -> DataFrame:
@@ -46,31 +55,39 @@ def keyed_join(
     right_key: str,
     how: str = "left",
     unique: bool = True,
+    rows_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on a key that is unique in ``right`` and not part of the result.
 
     ``how`` is left, inner, left_semi or left_anti. A left row with a NULL key has no match. With
     ``unique=False`` copies of a right key are reduced to one row, in the shuffle of the join.
+
+    Catalyst takes the size of a joined ``right`` to be the product of its sides. Where ``right`` has
+    no more rows than the table ``rows_of``, its size is judged by that table instead.
     """
     key = F.col(left_key) if isinstance(left_key, str) else left_key
     keeps_right = how in ("left", "inner")
     side = right.withColumnRenamed(right_key, _KEY)
     keyed = left.withColumn(_LEFT_KEY, key)
-    if fits_broadcast(side):
+    judged = rows_of is not None and fits_broadcast(rows_of, ENRICHED)
+    if judged or fits_broadcast(side):
         if not unique:
             side = one_row_per_key(side, [_KEY])
+        if judged:
+            side = F.broadcast(side)
         joined = keyed.join(side, F.col(_LEFT_KEY) == F.col(_KEY), how).drop(_LEFT_KEY)
         return joined.drop(_KEY) if keeps_right else joined
 
     salts = max(2, min(512, shuffle_partitions(left)))
-    hot = frequent_keys(left, key)
+    # Hashes serve keys of any type; here they only decide on which salts a key uses.
+    hot = frequent_keys(left, F.xxhash64(key)) if exceeds_partition(left) else []
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     left_salt = F.when(F.col(_LEFT_KEY).isNull(), spread)
     right_salt = F.lit(0)
     if hot:
-        left_salt = left_salt.when(F.col(_LEFT_KEY).isin(hot), spread)
+        left_salt = left_salt.when(F.xxhash64(_LEFT_KEY).isin(hot), spread)
         every = F.sequence(F.lit(0), F.lit(salts - 1))
-        right_salt = F.explode(F.when(F.col(_KEY).isin(hot), every).otherwise(F.array(F.lit(0))))
+        right_salt = F.explode(F.when(F.xxhash64(_KEY).isin(hot), every).otherwise(F.array(F.lit(0))))
     side = side.withColumn(_SALT, right_salt)
     if not unique:
         side = one_row_per_key(side, [_KEY, _SALT])
@@ -89,6 +106,7 @@ def lookup(
     matched: str,
     optional: bool = False,
     unique: bool = False,
+    rows_of: DataFrame | None = None,
 ) -> DataFrame:
     """Fetch the columns ``take`` (output -> dimension column) and the flag ``matched``.
 
@@ -102,7 +120,7 @@ def lookup(
     )
     side = side.withColumn(matched, F.lit(True))
     wanted = F.when(is_linked(link), link) if optional else link
-    return keyed_join(left, side, wanted, "__id", "left", unique).withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
+    return keyed_join(left, side, wanted, "__id", "left", unique, rows_of).withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
 
 
 def or_default(matched: str, value: Column | str, default: object) -> Column:

@@ -61,8 +61,8 @@ def ledger_start(counts: DataFrame) -> DataFrame:
 
 
 def _newest(value: str, *events: str) -> Column:
-    """Value of the newest event of the given kinds."""
-    chosen = F.col("event").isin(*events)
+    """Newest value that an event of the given kinds carries."""
+    chosen = F.col("event").isin(*events) & F.col(value).isNotNull()
     return F.max_by(F.when(chosen, F.col(value)), F.when(chosen, F.col("seq")))
 
 

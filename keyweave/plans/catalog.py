@@ -62,6 +62,7 @@ def with_album(rows: DataFrame, tables: dict[str, DataFrame], link: str = "Album
         {"__album_title": "Title", "__album_artist": "ArtistId", "__artist_name": "ArtistName"},
         "__has_album",
         optional=True,
+        rows_of=tables["Album"],
     )
 
 

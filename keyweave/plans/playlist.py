@@ -46,7 +46,7 @@ def playlist_track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
     )
     take = {f"__{c}": c for c in ("Name", "ArtistName", "AlbumTitle", "Milliseconds", "UnitPrice")}
     bridge = tables["PlaylistTrack"].select("PlaylistId", "TrackId")
-    rows = lookup(bridge, full, "TrackId", "__track", take, "__found")
+    rows = lookup(bridge, full, "TrackId", "__track", take, "__found", rows_of=track)
     return item(
         rows,
         "PlaylistTrack",

@@ -38,10 +38,26 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst itself would broadcast ``df`` under the session's threshold."""
+def fits_broadcast(df: DataFrame, factor: int = 1) -> bool:
+    """True when ``factor`` times the size of ``df`` is below the session's broadcast threshold."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
+    return estimated_bytes(df) * factor <= limit
+
+
+def exceeds_partition(df: DataFrame) -> bool:
+    """True when ``df`` is larger than one shuffle partition should be (AQE's advisory size).
+
+    Below that size no key can make a task too big, however its rows are distributed.
+    """
+    limit = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    return estimated_bytes(df) > _bytes(limit)
+
+
+def _bytes(text: str) -> int:
+    """Size in bytes of a setting such as ``64MB``, ``64m`` or ``67108864b``."""
+    units = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+    number = text.strip().lower().removesuffix("b")
+    return int(number[:-1]) * units[number[-1]] if number[-1:] in units else int(number)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

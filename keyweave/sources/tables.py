@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +14,31 @@ from keyweave.session import scratch_path, shuffle_partitions
 from keyweave.specs import CollectionSpec
 
 
-def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Lazy table set; columns and filters are pruned into the scans by the queries on it."""
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
+class TableSet(Mapping):
+    """Tables by name, each opened on first use: what a query does not need is not even looked at."""
+
+    def __init__(self, openers: dict[str, Callable[[], DataFrame]]):
+        self._openers = openers
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._openers[name]()
+        return self._opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._openers)
+
+    def __len__(self) -> int:
+        return len(self._openers)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._openers
+
+
+def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> TableSet:
+    """Parquet tables of a folder; columns and filters are pruned into the scans by the queries."""
+    return TableSet({name: (lambda n=name: spark.read.parquet(f"{folder}/{n}.parquet")) for name in names})
 
 
 class CollectionStore:

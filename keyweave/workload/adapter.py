@@ -9,66 +9,76 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyweave.sources.tables import read_tables
+from keyweave.sources.tables import TableSet, read_tables
 
 STAMP = "2024-01-01T00:00:00"
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def store_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def store_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     raw = read_tables(spark, sf_dir, RAW)
     brand = "CAST(substr(p_brand, 7) AS BIGINT)"
-    employees = raw["supplier"].select((F.count(F.lit(1)) + 2).alias("n")).scalar()
-    return {
-        "Artist": raw["region"].selectExpr("CAST(r_regionkey AS BIGINT) AS ArtistId", "r_name AS Name"),
-        "Album": raw["nation"].selectExpr(
-            "CAST(n_nationkey AS BIGINT) AS AlbumId", "n_name AS Title", "CAST(n_regionkey AS BIGINT) AS ArtistId"
-        ),
-        # Brands above 20 have no genre row, so their tracks miss the lookup.
-        "Genre": raw["part"]
-        .selectExpr(f"{brand} AS GenreId", "p_brand AS Name")
-        .filter("GenreId BETWEEN 1 AND 20")
-        .distinct(),
-        "MediaType": raw["region"].selectExpr("CAST(r_regionkey AS BIGINT) AS MediaTypeId", "r_name AS Name"),
-        "Track": raw["part"].selectExpr(
-            "p_partkey AS TrackId",
-            "p_name AS Name",
-            "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_partkey % 28 END AS AlbumId",
-            f"{brand} AS GenreId",
-            "CAST(p_size % 6 AS BIGINT) AS MediaTypeId",
-            "p_retailprice AS UnitPrice",
-        ),
-        "Employee": raw["supplier"].selectExpr(
-            "s_suppkey AS EmployeeId",
-            "split_part(s_name, '#', 1) AS FirstName",
-            "split_part(s_name, '#', 2) AS LastName",
-            "s_suppkey div 10 AS ReportsTo",
-        ),
-        "Customer": raw["customer"].select(
+
+    def customers() -> DataFrame:
+        slots = raw["supplier"].select((F.count(F.lit(1)) + 2).alias("n")).scalar()
+        return raw["customer"].select(
             F.col("c_custkey").alias("CustomerId"),
             F.expr("split_part(c_name, '#', 1)").alias("FirstName"),
             F.expr("split_part(c_name, '#', 2)").alias("LastName"),
             F.col("c_mktsegment").alias("Company"),
             F.concat(F.lower("c_name"), F.lit("@x.io")).alias("Email"),
-            (F.col("c_custkey") % employees).alias("SupportRepId"),
-        ),
-        "Invoice": raw["orders"].selectExpr(
-            "o_orderkey AS InvoiceId",
-            "o_custkey AS CustomerId",
-            "date_format(o_orderdate, 'yyyy-MM-dd') AS InvoiceDate",
-            "o_totalprice AS Total",
-        ),
-        "InvoiceLine": raw["lineitem"].selectExpr(
-            "CAST(l_linenumber AS BIGINT) AS InvoiceLineId",
-            "l_orderkey AS InvoiceId",
-            "l_partkey AS TrackId",
-            "l_extendedprice / l_quantity AS UnitPrice",
-            "l_quantity AS Quantity",
-        ),
-        "Playlist": raw["supplier"].selectExpr("s_suppkey AS PlaylistId", "s_name AS Name"),
-        "PlaylistTrack": raw["lineitem"].selectExpr("l_suppkey AS PlaylistId", "l_partkey AS TrackId").distinct(),
-    }
+            (F.col("c_custkey") % slots).alias("SupportRepId"),
+        )
+
+    return TableSet(
+        {
+            "Artist": lambda: raw["region"].selectExpr("CAST(r_regionkey AS BIGINT) AS ArtistId", "r_name AS Name"),
+            "Album": lambda: raw["nation"].selectExpr(
+                "CAST(n_nationkey AS BIGINT) AS AlbumId", "n_name AS Title", "CAST(n_regionkey AS BIGINT) AS ArtistId"
+            ),
+            # Brands above 20 have no genre row, so their tracks miss the lookup.
+            "Genre": lambda: raw["part"]
+            .selectExpr(f"{brand} AS GenreId", "p_brand AS Name")
+            .filter("GenreId BETWEEN 1 AND 20")
+            .distinct(),
+            "MediaType": lambda: raw["region"].selectExpr(
+                "CAST(r_regionkey AS BIGINT) AS MediaTypeId", "r_name AS Name"
+            ),
+            "Track": lambda: raw["part"].selectExpr(
+                "p_partkey AS TrackId",
+                "p_name AS Name",
+                "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_partkey % 28 END AS AlbumId",
+                f"{brand} AS GenreId",
+                "CAST(p_size % 6 AS BIGINT) AS MediaTypeId",
+                "p_retailprice AS UnitPrice",
+            ),
+            "Employee": lambda: raw["supplier"].selectExpr(
+                "s_suppkey AS EmployeeId",
+                "split_part(s_name, '#', 1) AS FirstName",
+                "split_part(s_name, '#', 2) AS LastName",
+                "s_suppkey div 10 AS ReportsTo",
+            ),
+            "Customer": customers,
+            "Invoice": lambda: raw["orders"].selectExpr(
+                "o_orderkey AS InvoiceId",
+                "o_custkey AS CustomerId",
+                "date_format(o_orderdate, 'yyyy-MM-dd') AS InvoiceDate",
+                "o_totalprice AS Total",
+            ),
+            "InvoiceLine": lambda: raw["lineitem"].selectExpr(
+                "CAST(l_linenumber AS BIGINT) AS InvoiceLineId",
+                "l_orderkey AS InvoiceId",
+                "l_partkey AS TrackId",
+                "l_extendedprice / l_quantity AS UnitPrice",
+                "l_quantity AS Quantity",
+            ),
+            "Playlist": lambda: raw["supplier"].selectExpr("s_suppkey AS PlaylistId", "s_name AS Name"),
+            "PlaylistTrack": lambda: raw["lineitem"]
+            .selectExpr("l_suppkey AS PlaylistId", "l_partkey AS TrackId")
+            .distinct(),
+        }
+    )
 
 
 # The same tables, and the items built from them, as SQL. Items leave out the stamps.
