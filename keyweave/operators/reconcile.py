@@ -7,6 +7,7 @@ is bounded by the rules and not by the number of bad items.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,74 +74,90 @@ def faults(items: DataFrame, spec: CollectionSpec, columns: list[Column]) -> Dat
     )
 
 
+def all_faults(items: DataFrame, spec: CollectionSpec) -> list[Column]:
+    return key_faults(items, spec) + required_faults(items) + entity_faults(items, spec)
+
+
 def item_faults(items: DataFrame, spec: CollectionSpec) -> DataFrame:
-    return faults(items, spec, key_faults(items, spec) + required_faults(items) + entity_faults(items, spec))
+    return faults(items, spec, all_faults(items, spec))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def target_counts(specs: dict[str, CollectionSpec], collections: Collections) -> DataFrame:
-    """All items, and without the continuation items of very long lists (``entity_count``)."""
-    return _union(
-        [
-            df.agg(
-                F.count(F.lit(1)).alias("target_count"),
-                F.count_if(F.col("EntityType").isin(list(specs[n].entities))).alias("entity_count"),
-            ).select(F.lit(n).alias("collection"), "target_count", "entity_count")
-            for n, df in collections.items()
-        ]
+def _counted(spec: CollectionSpec, items: DataFrame, columns: list[Column]) -> DataFrame:
+    """Item counts and fault counts in the same pass over the items.
+
+    Every item also carries an entry that is no fault and serves to count it. Items that only
+    continue a very long list are told apart from those that stand for a source row.
+    """
+    whole = F.col("EntityType").isin(list(spec.entities)) if "EntityType" in items.columns else F.lit(False)
+    present = F.struct(F.when(whole, "entity").otherwise("other").alias("check"), F.lit("").alias("message"))
+    return faults(items, spec, [present, *columns])
+
+
+def source_counts(specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
+    """Source rows and items due per collection; a table used by several collections is read once."""
+    uses = [(t, n, t in specs[n].counted) for n in names for t in specs[n].sources if t in sources]
+    tables = sorted({t for t, _, _ in uses})
+    spark = sources[tables[0]].sparkSession
+    mapping = spark.createDataFrame(uses, "table_name string, collection string, counted boolean")
+    counts = table_counts({t: sources[t] for t in tables})
+    return counts.join(F.broadcast(mapping), "table_name").groupBy("collection").agg(
+        F.sum("record_count").alias("source_count"),
+        F.coalesce(F.sum(F.when(F.col("counted"), F.col("record_count"))), F.lit(0).cast("bigint")).alias("expected_count"),
     )
 
 
-def count_rule(spec: CollectionSpec, source: str = "source_count", target: str = "target_count") -> Column:
+def count_rule(specs: dict[str, CollectionSpec]) -> Column:
     """Empty sources need an empty target; else equal counts, or between one and the source count."""
-    s, t = F.col(source), F.col(target)
-    filled = (t == s) if spec.exact_count else (t > 0) & (t <= s)
-    return F.when(s == 0, t == 0).otherwise(filled)
+    s, t = F.col("source_count"), F.col("target_count")
+    exact = F.col("collection").isin([n for n, spec in specs.items() if spec.exact_count])
+    return F.when(s == 0, t == 0).when(exact, t == s).otherwise((t > 0) & (t <= s))
 
 
-def reconcile_counts(
-    specs: dict[str, CollectionSpec], sources: dict[str, DataFrame], collections: Collections
+def _checked(
+    specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame], collections: Collections, full: bool
 ) -> DataFrame:
-    """Source and target counts per collection, the rule's outcome and the exact number of items due.
+    """Per collection: the counts of both sides and the list of fault messages."""
+    found = _union([_counted(specs[n], df, all_faults(df, specs[n]) if full else []) for n, df in collections.items()])
+    count = F.col("check").isin("entity", "other")
+    zero = F.lit(0).cast("bigint")
+    message = F.concat(F.col("items").cast("string"), F.lit(" items: "), F.col("message"))
+    targets = found.groupBy("collection").agg(
+        F.coalesce(F.sum(F.when(count, F.col("items"))), zero).alias("target_count"),
+        F.coalesce(F.sum(F.when(F.col("check") == "entity", F.col("items"))), zero).alias("entity_count"),
+        F.collect_list(F.when(~count, message)).alias("faults"),
+    )
+    joined = source_counts(specs, sources, collections).join(targets, "collection", "left")
+    return joined.withColumns(
+        {
+            "target_count": F.coalesce("target_count", zero),
+            "entity_count": F.coalesce("entity_count", zero),
+            "faults": F.coalesce("faults", F.array().cast("array<string>")),
+        }
+    )
 
-    Each source table is counted once although several collections may use it.
-    """
-    needed = {t for c in collections for t in specs[c].sources if t in sources}
-    counts = table_counts({t: sources[t] for t in sorted(needed)})
-    parts = []
-    for name in collections:
-        spec = specs[name]
-        parts.append(
-            counts.filter(F.col("table_name").isin(list(spec.sources)))
-            .agg(
-                F.coalesce(F.sum("record_count"), F.lit(0).cast("bigint")).alias("source_count"),
-                F.coalesce(
-                    F.sum(F.when(F.col("table_name").isin(list(spec.counted)), F.col("record_count"))),
-                    F.lit(0).cast("bigint"),
-                ).alias("expected_count"),
-            )
-            .select(
-                F.lit(name).alias("collection"), "source_count", "expected_count"
-            )
-        )
-    joined = _union(parts).join(target_counts(specs, collections), "collection")
-    rule = reduce(
-        lambda acc, n: acc.when(F.col("collection") == n, count_rule(specs[n])),
-        list(collections),
-        F.when(F.lit(False), F.lit(False)),
+
+def reconcile_counts(
+    specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame], collections: Collections
+) -> DataFrame:
+    """Source and target counts per collection, the rule's outcome and the exact number of items due."""
+    return _checked(specs, sources, collections, full=False).select(
+        "collection",
+        "source_count",
+        "expected_count",
+        "target_count",
+        count_rule(specs).alias("valid"),
+        (F.col("entity_count") == F.col("expected_count")).alias("complete"),
     )
-    return joined.withColumn("valid", rule).withColumn(
-        "complete", F.col("entity_count") == F.col("expected_count")
-    ).drop("entity_count")
 
 
 def verdicts(
     spark: SparkSession,
     specs: dict[str, CollectionSpec],
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     collections: dict[str, DataFrame | None],
 ) -> DataFrame:
     """Per collection: valid, source_count, target_count and the list of issues.
@@ -153,34 +170,19 @@ def verdicts(
     present = {n: df for n, df in collections.items() if n in specs and df is not None}
     parts = []
     if present:
-        counts = reconcile_counts(specs, sources, present)
-        mismatch = counts.filter(~F.col("valid")).select(
-            "collection",
-            F.concat(
-                F.lit("Record count mismatch: source="), F.col("source_count").cast("string"),
-                F.lit(", target="), F.col("target_count").cast("string"),
-            ).alias("issue"),
-        )
-        required_here = [n for n in present if not specs[n].may_be_empty]
-        empty = counts.filter((F.col("target_count") == 0) & F.col("collection").isin(required_here)).select(
-            "collection", F.lit("No items in the collection").alias("issue")
-        )
-        found = _union([item_faults(df, specs[n]) for n, df in present.items()]).select(
-            "collection",
-            F.concat(F.col("items").cast("string"), F.lit(" items: "), F.col("message")).alias("issue"),
+        s, t = F.col("source_count"), F.col("target_count")
+        mismatch = F.concat(
+            F.lit("Record count mismatch: source="), s.cast("string"), F.lit(", target="), t.cast("string")
         )
-        issues = _union([mismatch, empty, found]).groupBy("collection").agg(
-            F.array_sort(F.collect_list("issue")).alias("issues")
+        needed = F.col("collection").isin([n for n in present if not specs[n].may_be_empty])
+        general = F.array(
+            F.when(~count_rule(specs), mismatch), F.when((t == 0) & needed, F.lit("No items in the collection"))
         )
-        none = F.array().cast("array<string>")
+        issues = F.array_sort(F.concat(F.array_compact(general), F.col("faults")))
         parts.append(
-            counts.join(issues, "collection", "left").select(
-                "collection",
-                F.col("issues").isNull().alias("valid"),
-                "source_count",
-                "target_count",
-                F.coalesce("issues", none).alias("issues"),
-            )
+            _checked(specs, sources, present, full=True)
+            .withColumn("issues", issues)
+            .select("collection", (F.size("issues") == 0).alias("valid"), "source_count", "target_count", "issues")
         )
     if rejected:
         zero = F.lit(0).cast("bigint")
@@ -209,24 +211,26 @@ def efficiency(target: str, source: str) -> Column:
 
 
 def report(results: DataFrame) -> DataFrame:
-    """A line per collection and one for the whole: status, counts, issues and efficiency."""
-    line = results.select(
-        F.col("collection").alias("section"),
-        F.when(F.col("valid"), "PASSED").otherwise("FAILED").alias("status"),
-        "source_count",
-        "target_count",
-        F.array_join("issues", "; ").alias("issues"),
-        efficiency("target_count", "source_count").alias("efficiency"),
+    """A line per collection and one for the whole: status, counts, issues and efficiency.
+
+    Both come from one grouping, so the checks behind ``results`` run once.
+    """
+    lines = results.rollup("collection").agg(
+        F.grouping("collection").alias("whole"),
+        F.min("valid").alias("valid"),
+        F.sum("source_count").alias("source_count"),
+        F.sum("target_count").alias("target_count"),
+        F.first(F.array_join("issues", "; ")).alias("issues"),
     )
-    whole = summary(results).select(
-        F.lit("SUMMARY").alias("section"),
+    whole = F.col("whole") == 1
+    return lines.select(
+        F.when(whole, "SUMMARY").otherwise(F.col("collection")).alias("section"),
         F.when(F.col("valid"), "PASSED").otherwise("FAILED").alias("status"),
         "source_count",
         "target_count",
-        F.lit("").alias("issues"),
-        "efficiency",
+        F.when(whole, "").otherwise(F.col("issues")).alias("issues"),
+        efficiency("target_count", "source_count").alias("efficiency"),
     )
-    return line.unionByName(whole)
 
 
 def sample(items: DataFrame, n: int) -> DataFrame:
@@ -234,7 +238,7 @@ def sample(items: DataFrame, n: int) -> DataFrame:
     return page(items, ["PK", "SK"], limit=n)
 
 
-def transform_summary(specs: dict[str, CollectionSpec], sources: dict[str, DataFrame]) -> DataFrame:
+def transform_summary(specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame]) -> DataFrame:
     """Source rows per table, items due per collection, both totals and the efficiency."""
     counts = table_counts(sources)
     target = reduce(
