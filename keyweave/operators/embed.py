@@ -22,9 +22,6 @@ from keyweave.session import exceeds_partition
 
 PAGE_SIZE = 10_000
 
-# Share of all children from which one parent takes the way of huge groups.
-HUGE_SHARE = 0.0001
-
 
 def embed(
     parents: DataFrame,
@@ -46,7 +43,7 @@ def embed(
     lines = children.filter(F.col(fk).isNotNull()).select(
         F.col(fk).alias("__fk"), F.struct(*[c.alias(n) for n, c in fields.items()]).alias("__child")
     )
-    huge = frequent_keys(children, F.col(fk), HUGE_SHARE) if exceeds_partition(children) else []
+    huge = frequent_keys(children, F.col(fk)) if exceeds_partition(children) else []
     if not huge:
         return _attach(parents, key, _lists(lines, page_size), into, count, page, "left")
 
@@ -54,7 +51,7 @@ def embed(
     usual = _attach(
         parents.filter(~in_parents), key, _lists(lines.filter(~in_lines), page_size), into, count, page, "left"
     )
-    # A huge parent has children, so an inner join keeps it; there are at most 1 / HUGE_SHARE of them.
+    # A huge parent has children, so an inner join keeps it; there are only as many as frequent keys.
     spread = _huge_lists(lines.filter(in_lines), page_size)
     return usual.unionByName(
         _attach(F.broadcast(parents.filter(in_parents)), key, spread, into, count, page, "inner")

@@ -13,6 +13,8 @@ A left side no larger than one shuffle partition is not searched for frequent ke
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ from keyweave.functions.keys import is_linked
 from keyweave.session import exceeds_partition, fits_broadcast, shuffle_partitions
 
 # Share of the rows from which a key counts as frequent: at most 1 / HOT_SHARE keys can reach it.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.0005
+
+# Counters per sketch; a power of two.
+SKETCH_ITEMS = 16384
 
 # How much wider a dimension may have become through the lookups made for it.
 ENRICHED = 4
@@ -29,13 +34,17 @@ _KEY, _SALT, _LEFT_KEY, _LEFT_SALT = "__key", "__salt", "__left_key", "__left_sa
 
 
 def frequent_keys(df: DataFrame, key: Column, share: float = HOT_SHARE) -> list:
-    """Every key above ``share`` of the rows: at most 1 / ``share`` values, some of them rarer.
+    """Every key that holds ``share`` of the rows or more; a few rarer ones may be among them.
 
-    One pass over the key column with a bounded counter per task, without a shuffle of keys.
+    One pass over the key column with a frequent-items sketch of bounded size per task and no
+    shuffle of keys. The sketch misses no key above 7 / SKETCH_ITEMS of the rows.
     """
     present = df.select(key.alias(_KEY)).filter(F.col(_KEY).isNotNull())
-    found = present.freqItems([_KEY], share).first()
-    return [] if found is None or found[0] is None else list(found[0])
+    most = math.ceil(2 / share)
+    found = present.agg(
+        F.expr(f"approx_top_k({_KEY}, {most}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("rows")
+    ).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] >= found["rows"] * share / 2]
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], order_by: list[Column] | None = None) -> DataFrame:

@@ -86,15 +86,16 @@ def discover(path: str) -> dict[str, TableSpec]:
     """Keys, foreign keys, plain indexes and defaults of all tables, as declared in the file."""
     specs = {}
     with connect(local_files(path)[0]) as db:
-        for name in table_names(path):
-            columns = db.execute(f"PRAGMA table_info({quoted(name)})").fetchall()
+        described = {n: db.execute(f"PRAGMA table_info({quoted(n)})").fetchall() for n in table_names(path)}
+        keys = {n: tuple(c[1] for c in sorted(cs, key=lambda c: c[5]) if c[5]) for n, cs in described.items()}
+        for name, columns in described.items():
             links = db.execute(f"PRAGMA foreign_key_list({quoted(name)})").fetchall()
             indexes = db.execute(f"PRAGMA index_list({quoted(name)})").fetchall()
             specs[name] = TableSpec(
                 name,
-                tuple(c[1] for c in sorted(columns, key=lambda c: c[5]) if c[5]),
+                keys[name],
                 # A link without a named column goes to the key of the other table.
-                tuple(ForeignKey(fk[3], fk[2], fk[4] or fk[3]) for fk in reversed(links)),
+                tuple(ForeignKey(fk[3], fk[2], fk[4] or keys[fk[2]][fk[1]]) for fk in reversed(links)),
                 tuple(i[1] for i in indexes if not i[2]),
                 {c[1]: c[4] for c in columns if c[4] is not None},
             )
@@ -113,7 +114,7 @@ class SqliteReader(DataSourceReader):
         self.schema = schema
         self.path = options["path"]
         self.table = options["table"]
-        self.splits = int(options.get("numPartitions", "8"))
+        self.splits = int(options.get("partitions", "8"))
         self.conditions: list[tuple[str, list]] = []
 
     def partitions(self) -> list[RowRange]:
@@ -129,6 +130,8 @@ class SqliteReader(DataSourceReader):
                     ranges.append(RowRange(path, None, None))
                     continue
             if low is None:
+                # Spark wants at least one partition, also of an empty table.
+                ranges.append(RowRange(path, 0, -1))
                 continue
             width = (high - low) // per_file + 1
             ranges += [RowRange(path, at, min(high, at + width - 1)) for at in range(low, high + 1, width)]
@@ -198,7 +201,7 @@ class SqliteSource(DataSource):
         return T.StructType([T.StructField(c[1], spark_type(c[2]), not (c[3] or c[5])) for c in columns])
 
     def reader(self, schema: T.StructType) -> SqliteReader:
-        pushes = self.options.get("filterPushdown") == "true"
+        pushes = self.options.get("pushdown") == "true"
         return (FilteringReader if pushes else SqliteReader)(schema, dict(self.options))
 
 
@@ -208,8 +211,8 @@ def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8)
         spark.read.format("sqlite_table")
         .option("path", path)
         .option("table", table)
-        .option("numPartitions", str(partitions))
-        .option("filterPushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+        .option("partitions", str(partitions))
+        .option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
         .load()
     )
 

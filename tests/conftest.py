@@ -16,11 +16,12 @@ def spark():
 
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
