@@ -191,25 +191,34 @@ def orphans(tables: Tables, specs: Specs) -> DataFrame:
 def relationships(tables: Tables, specs: Specs) -> DataFrame:
     """Per table: the tables it references and those referencing it, with the rows behind the links.
 
-    The lists hold one name per declared foreign key, so they are as short as the catalogue.
+    Each measured foreign key counts for both of its tables, so the links are measured once. The
+    lists hold one name per declared foreign key, so they are as short as the catalogue.
     """
-    edges = link_counts(tables, specs)
-    zero = F.lit(0).cast("bigint")
-    outgoing = edges.groupBy("table_name").agg(
-        F.array_sort(F.collect_list("ref_table")).alias("refs"), F.sum("link_rows").alias("outgoing_rows")
+    zero, nothing = F.lit(0).cast("bigint"), F.lit(None).cast("string")
+
+    def entry(table, refs, refd, outgoing, incoming, records):
+        return F.struct(
+            F.col(table).alias("table_name"), refs.alias("refs"), refd.alias("refd"), outgoing.alias("outgoing"),
+            incoming.alias("incoming"), records.alias("records"),
+        )
+
+    links = link_counts(tables, specs).select(
+        F.explode(
+            F.array(
+                entry("table_name", F.col("ref_table"), nothing, F.col("link_rows"), zero, zero),
+                entry("ref_table", nothing, F.col("table_name"), zero, F.col("link_rows"), zero),
+            )
+        ).alias("e")
     )
-    incoming = edges.groupBy(F.col("ref_table").alias("table_name")).agg(
-        F.array_sort(F.collect_list("table_name")).alias("refd"), F.sum("link_rows").alias("incoming_rows")
+    counts = table_counts(tables).select(
+        entry("table_name", nothing, nothing, zero, zero, F.col("record_count")).alias("e")
     )
-    joined = table_counts(tables).join(outgoing, "table_name", "left").join(incoming, "table_name", "left")
-    none = F.array().cast("array<string>")
-    return joined.select(
-        "table_name",
-        "record_count",
-        F.coalesce("refs", none).alias("references"),
-        F.coalesce("refd", none).alias("referenced_by"),
-        F.coalesce("outgoing_rows", zero).alias("outgoing_rows"),
-        F.coalesce("incoming_rows", zero).alias("incoming_rows"),
+    return counts.unionByName(links).select("e.*").groupBy("table_name").agg(
+        F.sum("records").alias("record_count"),
+        F.array_sort(F.collect_list("refs")).alias("references"),
+        F.array_sort(F.collect_list("refd")).alias("referenced_by"),
+        F.sum("outgoing").alias("outgoing_rows"),
+        F.sum("incoming").alias("incoming_rows"),
     )
 
 

@@ -66,13 +66,9 @@ def _newest(value: str, *events: str) -> Column:
     return F.max_by(F.when(chosen, F.col(value)), F.when(chosen, F.col("seq")))
 
 
-def table_progress(log: DataFrame) -> DataFrame:
-    """Per run and table: status, totals, percent, errors, start, end and duration.
-
-    Only initialised tables count. Completion sets migrated to the total and the progress to 100,
-    also for an empty table; an error newer than the last start means ``failed``.
-    """
-    seen = log.filter(F.col("table_name").isNotNull()).groupBy("run_id", "table_name").agg(
+def _per_table(log: DataFrame) -> DataFrame:
+    """All that is known per run and table; ``known`` is 0 for tables that were never initialised."""
+    seen = log.groupBy("run_id", "table_name").agg(
         F.count_if(F.col("event") == "initialized").alias("known"),
         _newest("event", "initialized", "started", "completed", "error").alias("last_event"),
         F.coalesce(_newest("total", "initialized"), _zero()).alias("total"),
@@ -82,6 +78,9 @@ def table_progress(log: DataFrame) -> DataFrame:
         _newest("message", "error").alias("last_error"),
         _newest("at", "started").alias("started_at"),
         _newest("at", "completed").alias("completed_at"),
+        _newest("event", "paused", "resumed").alias("switch"),
+        F.max(F.when(F.col("event").isin("paused", "resumed"), F.col("seq"))).alias("switch_seq"),
+        F.max("at").alias("last_at"),
     )
     status = (
         F.when(F.col("last_event") == "completed", "completed")
@@ -90,24 +89,30 @@ def table_progress(log: DataFrame) -> DataFrame:
         .otherwise("not_started")
     )
     complete = F.col("status") == "completed"
-    return (
-        seen.filter(F.col("known") > 0)
-        .withColumn("status", status)
-        .withColumn("migrated", F.when(complete, F.col("total")).otherwise(F.col("counted")))
-        .select(
-            "run_id",
-            "table_name",
-            "status",
-            "total",
-            "migrated",
-            percent("migrated", "total", complete).alias("progress"),
-            "errors",
-            "last_error",
-            "last_id",
-            "started_at",
-            "completed_at",
-            F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("completed_at")).alias("duration_us"),
-        )
+    return seen.withColumn("status", status).withColumn(
+        "migrated", F.when(complete, F.col("total")).otherwise(F.col("counted"))
+    )
+
+
+def table_progress(log: DataFrame) -> DataFrame:
+    """Per run and table: status, totals, percent, errors, start, end and duration.
+
+    Only initialised tables count. Completion sets migrated to the total and the progress to 100,
+    also for an empty table; an error newer than the last start means ``failed``.
+    """
+    return _per_table(log).filter((F.col("known") > 0) & F.col("table_name").isNotNull()).select(
+        "run_id",
+        "table_name",
+        "status",
+        "total",
+        "migrated",
+        percent("migrated", "total", F.col("status") == "completed").alias("progress"),
+        "errors",
+        "last_error",
+        "last_id",
+        "started_at",
+        "completed_at",
+        F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("completed_at")).alias("duration_us"),
     )
 
 
@@ -119,20 +124,19 @@ def percent(part: str, whole: str, complete: Column) -> Column:
 
 def run_progress(log: DataFrame) -> DataFrame:
     """Per run: status, tables, completed tables, records, percent and errors of any table."""
-    whole = log.groupBy("run_id").agg(
-        F.count_if(F.col("event") == "error").alias("errors"),
-        _newest("event", "paused", "resumed").alias("switch"),
-        F.max("at").alias("last_checkpoint"),
-    )
-    tables = table_progress(log).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("total_tables"),
-        F.count_if(F.col("status") == "completed").alias("completed_tables"),
-        F.sum("total").alias("total"),
-        F.sum("migrated").alias("migrated"),
+    known = F.col("known") > 0
+    runs = _per_table(log).groupBy("run_id").agg(
+        F.count_if(known).alias("total_tables"),
+        F.count_if(known & (F.col("status") == "completed")).alias("completed_tables"),
+        F.coalesce(F.sum(F.when(known, F.col("total"))), _zero()).alias("total"),
+        F.coalesce(F.sum(F.when(known, F.col("migrated"))), _zero()).alias("migrated"),
+        F.sum("errors").alias("errors"),
+        F.max_by("switch", "switch_seq").alias("switch"),
+        F.max("last_at").alias("last_checkpoint"),
     )
-    complete = F.col("completed_tables") == F.col("total_tables")
+    complete = (F.col("total_tables") > 0) & (F.col("completed_tables") == F.col("total_tables"))
     status = F.when(complete, "completed").when(F.col("switch") == "paused", "paused").otherwise("in_progress")
-    return tables.join(whole, "run_id").select(
+    return runs.select(
         "run_id",
         status.alias("status"),
         "total_tables",
