@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyweave.operators.hierarchy import layers
-from keyweave.operators.joins import keyed_join, related_rows
+from keyweave.operators.joins import related_rows
 from keyweave.specs import TableSpec
 
 Tables = dict[str, DataFrame]
@@ -140,7 +140,7 @@ def link_counts(tables: Tables, specs: Specs) -> DataFrame:
             known = parent.distinct().withColumn("__found", F.lit(True))
             zero = F.lit(0).cast("bigint")
             parts.append(
-                keyed_join(values, known, "__value", "__ref").agg(
+                values.join(known, F.col("__value") == F.col("__ref"), "left").agg(
                     F.coalesce(F.sum("__rows"), zero).alias("link_rows"),
                     F.count("__found").alias("linked_parents"),
                     F.coalesce(F.sum(F.when(F.col("__found").isNull(), F.col("__rows"))), zero).alias("orphan_rows"),

@@ -73,13 +73,13 @@ def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     links = materialize(keyed_join(links, remaining.withColumnRenamed("node", "n"), "node", "n", "left_semi"))
     parts, layer = [], 0
     while not remaining.isEmpty():
-        waiting = links.select(F.col("node").alias("w")).distinct()
-        ready = materialize(keyed_join(remaining, waiting, "node", "w", "left_anti"))
+        # Nodes are unique here; only the links can have a hot end.
+        ready = materialize(remaining.join(links.select("node").distinct(), "node", "left_anti"))
         if ready.isEmpty():
             ready = remaining
         parts.append(ready.withColumn("layer", F.lit(layer).cast("bigint")))
         gone = ready.withColumnRenamed("node", "g")
-        remaining = materialize(keyed_join(remaining, gone, "node", "g", "left_anti"))
+        remaining = materialize(remaining.join(ready, "node", "left_anti"))
         links = materialize(keyed_join(links, gone, "needs", "g", "left_anti"))
         layer += 1
     if not parts:
