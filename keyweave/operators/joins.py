@@ -90,7 +90,7 @@ def keyed_join(
     salts = max(2, min(512, shuffle_partitions(left)))
     # Hashes serve keys of any type; here they only decide on which salts a key uses.
     hot = frequent_keys(left, F.xxhash64(key)) if exceeds_partition(left) else []
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = F.pmod(_row_hash(left), F.lit(salts)).cast("int")
     left_salt = F.when(F.col(_LEFT_KEY).isNull(), spread)
     right_salt = F.lit(0)
     if hot:
@@ -106,6 +106,12 @@ def keyed_join(
     return joined.drop(_KEY, _SALT) if keeps_right else joined
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of all columns that can be hashed. It is the same when a lost task runs again, which a
+    random number would not be, so no row can change its salt between attempts."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def lookup(
     left: DataFrame,
     dimension: DataFrame,

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from keyweave.functions.codec import decode_attribute
+from keyweave.operators.upsert import latest
+
 # Batch bound, number of retries, first waits in seconds (each retry doubles them).
 MAX_BATCH = 25
 MAX_RETRIES = 3
@@ -204,5 +207,12 @@ def put_items(encoded: DataFrame, table: str, folder: str, client: str = "folder
 
 
 def read_put_items(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """The encoded items that the folder client holds."""
-    return spark.read.text(f"{folder}/items/{table}").select(F.col("value").alias("item"))
+    """The encoded items that the folder client holds: the last put of each key, since a repeated
+    task puts its items again."""
+    puts = spark.read.text(f"{folder}/items/{table}").select(
+        F.col("value").alias("item"),
+        decode_attribute("value", "PK", "S").alias("PK"),
+        decode_attribute("value", "SK", "S").alias("SK"),
+        F.col("_metadata.file_modification_time").alias("at"),
+    )
+    return latest(puts, ["at", "item"]).select("item")

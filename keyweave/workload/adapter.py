@@ -37,10 +37,9 @@ def store_tables(spark: SparkSession, sf_dir: str) -> TableSet:
             "Album": lambda: raw["nation"].selectExpr(
                 "CAST(n_nationkey AS BIGINT) AS AlbumId", "n_name AS Title", "CAST(n_regionkey AS BIGINT) AS ArtistId"
             ),
-            # Brands above 20 have no genre row, so their tracks miss the lookup.
+            # Genres of brands above 20 have other ids, so the tracks of these brands miss the lookup.
             "Genre": lambda: raw["part"]
-            .selectExpr(f"{brand} AS GenreId", "p_brand AS Name")
-            .filter("GenreId BETWEEN 1 AND 20")
+            .selectExpr(f"CASE WHEN {brand} > 20 THEN {brand} + 100 ELSE {brand} END AS GenreId", "p_brand AS Name")
             .distinct(),
             "MediaType": lambda: raw["region"].selectExpr(
                 "CAST(r_regionkey AS BIGINT) AS MediaTypeId", "r_name AS Name"
@@ -85,8 +84,8 @@ def store_tables(spark: SparkSession, sf_dir: str) -> TableSet:
 VIEWS = {
     "t_artist": "SELECT CAST(r_regionkey AS BIGINT) AS ArtistId, r_name AS Name FROM region",
     "t_album": "SELECT CAST(n_nationkey AS BIGINT) AS AlbumId, n_name AS Title, CAST(n_regionkey AS BIGINT) AS ArtistId FROM nation",
-    "t_genre": """SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS GenreId, p_brand AS Name FROM part
-        WHERE CAST(substr(p_brand, 7) AS BIGINT) BETWEEN 1 AND 20""",
+    "t_genre": """SELECT DISTINCT CASE WHEN CAST(substr(p_brand, 7) AS BIGINT) > 20 THEN CAST(substr(p_brand, 7) AS BIGINT) + 100
+        ELSE CAST(substr(p_brand, 7) AS BIGINT) END AS GenreId, p_brand AS Name FROM part""",
     "t_mediatype": "SELECT CAST(r_regionkey AS BIGINT) AS MediaTypeId, r_name AS Name FROM region",
     "t_track": """SELECT p_partkey AS TrackId, p_name AS Name,
         CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_partkey % 28 END AS AlbumId,
