@@ -47,12 +47,17 @@ def frequent_keys(df: DataFrame, key: Column, share: float = HOT_SHARE) -> list:
     return [t["item"] for t in found["top"] or [] if t["count"] >= found["rows"] * share / 2]
 
 
+def comparable_columns(df: DataFrame) -> list[str]:
+    """Columns that can be ordered and hashed: all but maps."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def one_row_per_key(df: DataFrame, keys: list[str], order_by: list[Column] | None = None) -> DataFrame:
     """Keep the last row of each key in ``order_by`` (default: order of all other columns).
 
     The rank filter is applied before the shuffle as well, so copies of a key never travel.
     """
-    last = order_by or [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
+    last = order_by or [F.col(c).desc_nulls_last() for c in comparable_columns(df) if c not in keys]
     window = Window.partitionBy(*keys).orderBy(*(last or [F.lit(1)]))
     return df.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") == 1).drop("__rank")
 
@@ -109,7 +114,7 @@ def keyed_join(
 def _row_hash(df: DataFrame) -> Column:
     """Hash of all columns that can be hashed. It is the same when a lost task runs again, which a
     random number would not be, so no row can change its salt between attempts."""
-    return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    return F.xxhash64(*comparable_columns(df))
 
 
 def lookup(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.operators.joins import keyed_join, one_row_per_key
+from keyweave.operators.joins import comparable_columns, keyed_join, one_row_per_key
 
 KEYS = ("PK", "SK")
 
@@ -29,7 +29,7 @@ def keyed_upsert(
     both = existing.withColumn("__batch", F.lit(0)).unionByName(
         incoming.withColumn("__batch", F.lit(1)), allowMissingColumns=True
     )
-    order = ["__batch", *version, *[c for c in both.columns if c not in {*keys, *version, "__batch"}]]
+    order = ["__batch", *version, *[c for c in comparable_columns(both) if c not in {*keys, *version, "__batch"}]]
     return latest(both, order, keys).drop("__batch")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from keyweave.operators.joins import comparable_columns
 from keyweave.operators.upsert import KEYS, latest
 
 
@@ -26,7 +27,7 @@ class DeltaLog:
         self.keys = tuple(keys)
 
     def _latest(self, df: DataFrame) -> DataFrame:
-        order = [*self.version, *[c for c in df.columns if c not in {*self.keys, *self.version, "batch"}]]
+        order = [*self.version, *[c for c in comparable_columns(df) if c not in {*self.keys, *self.version, "batch"}]]
         return latest(df, ["batch", *order] if "batch" in df.columns else order, self.keys)
 
     def append(self, items: DataFrame, batch: int) -> None:

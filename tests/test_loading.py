@@ -28,6 +28,12 @@ def test_upsert_replaces_whole_items(spark, rows):
     assert rows(keyed_upsert(keyed_upsert(old, new), new), "PK", "v") == rows(keyed_upsert(old, new), "PK", "v")
 
 
+def test_upsert_of_items_with_maps(spark):
+    old = spark.createDataFrame([("a", "1", {"x": 1})], "PK string, SK string, m map<string,bigint>")
+    new = spark.createDataFrame([("a", "1", {"x": 2})], "PK string, SK string, m map<string,bigint>")
+    assert [r["m"] for r in keyed_upsert(old, new).collect()] == [{"x": 2}]
+
+
 def test_latest_with_a_hot_key(spark):
     df = spark.range(1000).select(F.lit("hot").alias("PK"), F.lit("1").alias("SK"), F.col("id").alias("v"))
     assert [tuple(r) for r in latest(df, ["v"]).collect()] == [("hot", "1", 999)]
