@@ -22,7 +22,7 @@ def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
     nodes = df.select(F.col(key).alias("node"), F.when(is_linked(parent), F.col(parent)).alias("up"))
     nodes = one_row_per_key(nodes, ["node"], [F.col("up").desc_nulls_last()])
     known = nodes.select(F.col("node").alias("known"))
-    existing = keyed_join(nodes, known.withColumn("found", F.lit(True)), "up", "known")
+    existing = keyed_join(nodes, known.withColumn("found", F.lit(True)), "up", "known", rows_of=nodes)
     chains = materialize(
         existing.select(
             "node",
@@ -45,7 +45,7 @@ def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
             F.col("node").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"), F.lit(False).alias("ended")
         )
         stepped = materialize(
-            keyed_join(active, finished.unionByName(longer), "up", "at").select(
+            keyed_join(active, finished.unionByName(longer), "up", "at", rows_of=nodes).select(
                 "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), "ended"
             )
         )
