@@ -158,7 +158,10 @@ def link_counts(tables: Tables, specs: Specs) -> DataFrame:
 
 
 def orphans(tables: Tables, specs: Specs) -> DataFrame:
-    """Foreign keys with rows whose parent does not exist, and a message for each."""
+    """Foreign keys with rows whose parent does not exist, and a message for each.
+
+    Rows are counted per link value first. The wording of the message is a fixed value.
+    """
     parts = []
     for name, df in tables.items():
         for fk in specs[name].foreign_keys:
