@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from keyweave.llm.corpus import table
+from keyweave.llm.corpus import table, worker_store
 from keyweave.llm.registry import query
 
 #: Entries that a task keeps of pieces and of token pairs; a full cache is emptied.
@@ -157,16 +157,13 @@ class PrefixTable:
         return out[::-1]
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
-
-
 def task_codec(packed: bytes, pattern: str) -> Codec:
     """One codec per worker process and rank file."""
-    key = (hash(packed), pattern)
-    if key not in _CODECS:
+    key, store = ("codec", hash(packed), pattern), worker_store()
+    if key not in store:
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in packed.splitlines() if x.strip())}
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+        store[key] = Codec(ranks, pattern)
+    return store[key]
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
-from collections.abc import Iterable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +43,14 @@ def lower_ascii(text: str) -> str:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def batches_of(rows: Iterable, size: int):
-    part = []
-    for row in rows:
-        part.append(row)
-        if len(part) >= size:
-            yield part
-            part = []
-    if part:
-        yield part
+def worker_store() -> dict:
+    """A dictionary that lives as long as the Python worker.
+
+    Functions of this package reach a worker as code, with fresh globals for every task; what is
+    costly to build is kept here instead.
+    """
+    module = sys.modules.setdefault("_keyweave_llm_worker", types.ModuleType("_keyweave_llm_worker"))
+    return module.__dict__.setdefault("store", {})
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyweave.llm.corpus import table
+from keyweave.llm.corpus import table, worker_store
 from keyweave.llm.registry import query
 from keyweave.session import scratch_path
 
@@ -56,7 +56,6 @@ SEGMENT_DOCS = 8192
 CACHE_ENTRIES = 300_000
 
 _CHUNK = re.compile("[^ \n]+")
-_TOKENIZERS: dict[int, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -85,10 +84,10 @@ class WordEncoder:
 
 
 def _encoder(vocabulary: bytes, end_id: int) -> WordEncoder:
-    key = hash((vocabulary, end_id))
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = WordEncoder(vocabulary, end_id)
-    return _TOKENIZERS[key]
+    key, store = ("words", hash(vocabulary), end_id), worker_store()
+    if key not in store:
+        store[key] = WordEncoder(vocabulary, end_id)
+    return store[key]
 
 
 def pack_segment(ids: list[int | None], counts: list[int], frames: list[bytes], dictionary: bytes) -> bytes:
