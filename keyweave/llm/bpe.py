@@ -42,43 +42,70 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.longest = max(map(len, ranks), default=1)
+        #: Tokens that merges can make; any other only ever stands for a whole piece.
+        self.sound: dict[bytes, int] = {}
+        #: The two tokens whose merge makes a token.
+        self.halves: dict[int, tuple[int, int]] = {}
+        for b, i in ranks.items():
+            parts = self.merged(b, stop=2)
+            if len(parts) < 3:
+                self.sound[b] = i
+            if len(parts) == 2:
+                self.halves[i] = (ranks[parts[0]], ranks[parts[1]])
+        self.longest = max(map(len, self.sound), default=1)
+        #: Lengths of the tokens that end with three bytes, longest first, then the shorter ones.
+        self.lengths: dict[bytes, list[int]] = {}
+        for b in self.sound:
+            if len(b) > 2:
+                self.lengths.setdefault(b[-3:], []).append(len(b))
+        self.lengths = {k: [*sorted(set(v), reverse=True), 2, 1] for k, v in self.lengths.items()}
         self.pattern = regex.compile(pattern)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._whole: dict[bytes, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._pieces: dict[str, bytes] = {}
 
-    def merged(self, data: bytes) -> list[bytes]:
-        """Plain merging, lowest rank first; only used on the bytes of one or two tokens."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                rank = self.ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+    def merged(self, data: bytes, stop: int = 1) -> list[bytes]:
+        """Plain merging, lowest rank first, until ``stop`` parts are left; only used to take tokens apart."""
+        parts, rank, none = [data[i : i + 1] for i in range(len(data))], self.ranks.get, 1 << 62
+        scores = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while len(scores) >= stop:
+            best = min(scores)
+            if best == none:
                 break
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = rank(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = rank(parts[at] + parts[at + 1], none)
         return parts
 
-    def reachable(self, token: bytes) -> bool:
-        """True if merges can make the token; others only stand for a whole piece."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merged(token) == [token]
-        return known
-
     def side_by_side(self, left: int, right: int) -> bool:
-        """True if merging the two tokens' bytes gives just these tokens."""
-        key = (left, right)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= CACHE_ENTRIES:
-                self._pairs.clear()
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            known = self._pairs[key] = self.merged(a + b) == [a, b]
-        return known
+        """True if merging the two tokens' bytes gives just these tokens; kept in ``pairs``.
+
+        Merges run in order of rank, the leftmost first among equals. Going back in time, the tokens
+        at the border are taken apart, the later one first; a merge across the border must not come
+        before the one just undone.
+        """
+        if len(self.pairs) >= CACHE_ENTRIES:
+            self.pairs.clear()
+        key, rank, bytes_of, before = left << 32 | right, self.ranks.get, self.bytes_of, 1 << 62
+        while True:
+            across = rank(bytes_of[left] + bytes_of[right])
+            if across is not None and across < before:
+                fits = False
+                break
+            later_left = left > right
+            halves = self.halves.get(left if later_left else right)
+            if halves is None:
+                fits = True
+                break
+            if later_left:
+                before, left = left, halves[1]
+            else:
+                before, right = right + 1, halves[0]
+        self.pairs[key] = fits
+        return fits
 
     def piece_ids(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -122,15 +149,26 @@ class PrefixTable:
 
         Returns how many entries were computed.
         """
-        codec, last, data, same = self.codec, self.last, bytes(self.data), 0
-        ranks, longest = codec.ranks, codec.longest
+        last, data, same, longest = self.last, bytes(self.data), 0, self.codec.longest
+        lengths_at = self.codec.lengths.get
+        token_at, known, check = self.codec.sound.get, self.codec.pairs.get, self.codec.side_by_side
         for end in range(start, len(data) + 1):
             found = -1
-            for begin in range(max(0, end - longest), end):
-                token = ranks.get(data[begin:end])
-                if token is None or (begin and last[begin] < 0):
+            for length in lengths_at(data[end - 3 : end] if end > 2 else b"", (2, 1)):
+                begin = end - length
+                if begin < 0:
+                    continue
+                token = token_at(data[begin:end])
+                if token is None:
+                    continue
+                if not begin:
+                    found = token
+                    break
+                left = last[begin]
+                if left < 0:
                     continue
-                if codec.reachable(data[begin:end]) and (begin == 0 or codec.side_by_side(last[begin], token)):
+                fits = known(left << 32 | token)
+                if check(left, token) if fits is None else fits:
                     found = token
                     break
             last.append(found)

@@ -73,3 +73,13 @@ def test_every_prefix_is_encoded(ranks):
     for end in range(1, len(data) + 1):
         assert [codec.bytes_of[i] for i in PrefixTable(codec, data[:end]).ids()] == codec.merged(data[:end])
         assert codec.bytes_of[table.last[end]] == codec.merged(data[:end])[-1]
+
+
+def test_pairs_equal_plain_merging(ranks):
+    codec, rng = Codec(ranks, public_tokenizers.PATTERN), random.Random(9)
+    tokens = sorted(codec.sound.values())
+    short = [i for i in tokens if len(codec.bytes_of[i]) < 4][:400]
+    for _ in range(30_000):
+        a, b = (rng.choice(short), rng.choice(short)) if rng.random() < 0.7 else (rng.choice(tokens), rng.choice(tokens))
+        x, y = codec.bytes_of[a], codec.bytes_of[b]
+        assert codec.side_by_side(a, b) == (codec.merged(x + y) == [x, y])
