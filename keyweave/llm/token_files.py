@@ -56,6 +56,9 @@ SEGMENT_DOCS = 8192
 CACHE_ENTRIES = 300_000
 
 _CHUNK = re.compile("[^ \n]+")
+#: Latin letters whose lower case and normal form are plain, and end marks: the usual chunk. The
+#: library's normaliser and splitter leave such a chunk's two parts as they are, but for the case.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,:;!?]*)")
 
 
 class WordEncoder:
@@ -72,15 +75,41 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.end = array("I", [end_id]).tobytes()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model.tokenize
+        self.alphabet = _byte_alphabet()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunks = [_CHUNK.findall(t or "") for t in texts]
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        new = list({c for part in chunks for c in part if c not in self.known})
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, part)) + self.end for part in chunks]
+        if len(self.parts) > CACHE_ENTRIES:
+            self.parts.clear()
+        known, others = self.known, []
+        for chunk in {c for part in chunks for c in part if c not in known}:
+            plain = _PLAIN.fullmatch(chunk)
+            if plain:
+                known[chunk] = self._part(plain[1].lower()) + (self._part(plain[2]) if plain[2] else b"")
+            else:
+                others.append(chunk)
+        for chunk, found in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False)):
+            known[chunk] = array("I", found.ids).tobytes()
+        return [b"".join(map(known.__getitem__, part)) + self.end for part in chunks]
+
+    def _part(self, part: str) -> bytes:
+        """Ids of lower-case letters or of end marks: one match of the pattern, so the merges apply as they are."""
+        ids = self.parts.get(part)
+        if ids is None:
+            spelled = part.encode().decode("latin1").translate(self.alphabet)
+            ids = self.parts[part] = array("I", [t.id for t in self.model(spelled)]).tobytes()
+        return ids
+
+
+def _byte_alphabet() -> dict[int, int]:
+    """Byte-level vocabularies spell each byte as one printable character: itself, or the next one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + n for n, b in enumerate(others)}
 
 
 def _encoder(vocabulary: bytes, end_id: int) -> WordEncoder:
@@ -133,7 +162,10 @@ class Segment:
 
 def train_dictionary(docs: DataFrame, encode: Callable[[list[str]], list[bytes]]) -> bytes:
     """A dictionary from a bounded sample of short documents (SAMPLE_DOCS, SAMPLE_CHARS), chosen by hash of the id."""
-    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("text", F.xxhash64("doc_id").alias("order"))
+    every = max(1, docs.count() // SAMPLE_DOCS)  # so that all tasks together send about the sample
+    short = docs.select("text", F.xxhash64("doc_id").alias("order")).filter(
+        F.length("text").between(1, SAMPLE_CHARS) & (F.pmod("order", F.lit(every)) == 0)
+    )
     texts = [r.text for r in short.orderBy("order", "text").limit(SAMPLE_DOCS).collect()]
     samples = encode(texts)
     if sum(map(len, samples)) < 100 * len(MAGIC) or len(samples) < 10:
