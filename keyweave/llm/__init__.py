@@ -1,6 +1,6 @@
 """Operators for the data of language models. Nothing else in the library imports this package."""
 
-from keyweave.llm import bpe, katz, repeated_spans, token_files, toxicity  # noqa: F401  (registration)
+from keyweave.llm import bpe, katz, near_copies, repeated_spans, token_files, toxicity  # noqa: F401  (registration)
 from keyweave.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
