@@ -158,6 +158,12 @@ class _Corpus:
         order = np.argsort(of, kind="stable")
         return keys, seen, self.counts[self.tokens[first]], inverse, order, by_bucket(of[order], buckets)
 
+    def history_counts(self, keys: np.ndarray) -> np.ndarray:
+        """Training count of each pair's history: a word is a history as often as it occurs."""
+        order = np.argsort(self.numbers)
+        place = np.searchsorted(self.numbers, keys >> np.uint64(32), sorter=order)
+        return self.counts[order[place]]
+
 
 def _answers(table: pa.Table, kind: int) -> dict[int, bytes]:
     return {b: x for b, k, x in zip(table["bucket"].to_pylist(), table["kind"].to_pylist(), table["blob"].to_pylist()) if k == kind}
@@ -292,42 +298,54 @@ def score_documents(
     whole = {}
     for r in split.collect():  # HOT rows at most
         kept = r["total"] - sum(r[f"k{i}"] * i * (1 - d[i]) for i in range(1, DISCOUNTED + 1))
-        whole[r["h"]] = tuple(float(x) for x in _history(r["total"], kept, r["low"]))
+        divisor, alpha = _history(r["total"], kept, r["low"])
+        whole[r["h"]] = (bool(divisor > r["total"]), float(alpha))
 
-    def probabilities(batches):
+    def counted(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                logs = katz_logs(row["pairs"])
+                history, _, seen, counts = split_parts(row["pairs"])
+                history, seen, counts = unpack_sorted(history), unpack(seen).astype(np.int64), unpack(counts).astype(np.int64)
+                starts = np.flatnonzero(np.append(True, history[1:] != history[:-1]))
+                total = _sums(starts, seen)
+                divisor, alpha = _history(
+                    total, _sums(starts, _discounted(seen, d)), _sums(starts, np.where(seen > 0, unigrams.probability(counts), 0.0))
+                )
+                more = divisor > total
+                for i in np.flatnonzero(np.isin(history[starts], hot)):
+                    more[i], alpha[i] = whole[int(history[starts[i]])]
+                of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(history))))
                 rows = []
                 for chunk, places in zip(row["chunks"], row["places"]):
-                    values, which = np.unique(logs[unpack_sorted(places).astype(np.int64)], return_inverse=True)
-                    rows.append((chunk, row["bucket"], PAIRS, join_parts(values.astype("<f8").tobytes(), pack(which))))
+                    at = unpack_sorted(places).astype(np.int64)
+                    backing_off = np.unique(of[at[seen[at] == 0]])
+                    rows.append(
+                        (chunk, row["bucket"], PAIRS, join_parts(pack(seen[at] * 2 + more[of[at]]), alpha[backing_off].astype("<f8").tobytes()))
+                    )
                 yield from blobs(rows).to_batches()
 
-    def katz_logs(blob: bytes) -> np.ndarray:
-        """log10 P(word | history) of every pair of a bucket."""
-        history, _, seen, counts = split_parts(blob)
-        history, seen, counts = unpack_sorted(history), unpack(seen).astype(np.int64), unpack(counts).astype(np.int64)
-        lower, kept = unigrams.probability(counts), _discounted(seen, d)
-        starts = np.flatnonzero(np.append(True, history[1:] != history[:-1]))
-        divisor, alpha = _history(
-            _sums(starts, seen), _sums(starts, kept), _sums(starts, np.where(seen > 0, lower, 0.0))
-        )
-        for i in np.flatnonzero(np.isin(history[starts], hot)):
-            divisor[i], alpha[i] = whole[int(history[starts[i]])]
-        sizes = np.diff(np.append(starts, len(history)))
-        return np.log10(np.where(seen > 0, kept / np.repeat(divisor, sizes), np.repeat(alpha, sizes) * lower))
+    def katz(seen, divisor, history, alphas, counts) -> np.ndarray:
+        """P(word | history): the pair's own share if it was seen, else the level below, weighted."""
+        out = _discounted(seen, d) / np.maximum(divisor, 1)
+        unseen = seen == 0
+        _, of = np.unique(history[unseen], return_inverse=True)
+        out[unseen] = alphas[of] * unigrams.probability(counts[unseen])
+        return out
 
-    logs = pairs.select("bucket", "pairs", "chunks", "places").mapInArrow(probabilities, BLOB)
+    logs = pairs.select("bucket", "pairs", "chunks", "places").mapInArrow(counted, BLOB)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         corpus = _Corpus(Chunk(left.to_pylist()[0]), modulus, held_out)
         corpus.set_words(buckets, _answers(right, WORDS))
-        keys, _, _, inverse, order, slices = corpus.pairs(buckets, hot)
+        keys, _, counts, inverse, order, slices = corpus.pairs(buckets, hot)
         answers, values = _answers(right, PAIRS), np.zeros(len(keys))
+        totals = corpus.history_counts(keys)
         for b, part in slices:
-            distinct, which = split_parts(answers[b])
-            values[order[part]] = np.frombuffer(distinct, "<f8")[unpack(which).astype(np.int64)]
+            at = order[part]
+            found, alphas = split_parts(answers[b])
+            found, alphas = unpack(found).astype(np.int64), np.frombuffer(alphas, "<f8")
+            values[at] = katz(found >> 1, totals[at] + (found & 1), keys[at] >> np.uint64(32), alphas, counts[at])
+        values = np.log10(values)
         starts, counts = corpus.ends - corpus.lengths, corpus.counts[corpus.tokens]
         return pa.table(
             {
