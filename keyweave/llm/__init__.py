@@ -1,6 +1,6 @@
 """Operators for the data of language models. Nothing else in the library imports this package."""
 
-from keyweave.llm import bpe, exact_topk, katz, near_copies, personal_data, repeated_spans, token_files, toxicity  # noqa: F401,E501  (registration)
+from keyweave.llm import bpe, decontaminate, exact_topk, katz, near_copies, personal_data, repeated_spans, token_files, toxicity  # noqa: F401,E501  (registration)
 from keyweave.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
