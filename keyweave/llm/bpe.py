@@ -27,8 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from keyweave.llm.corpus import table, worker_store
 from keyweave.llm.registry import query
 
-#: Entries that a task keeps of pieces and of token pairs; a full cache is emptied.
+#: Entries that a worker keeps of pieces and stems, and of token pairs; a full cache is emptied.
 CACHE_ENTRIES = 300_000
+PAIR_ENTRIES = 1_000_000
+#: Pieces up to STEM_BYTES share the tables of their beginnings, kept at every STEM_STEP bytes.
+STEM_BYTES, STEM_STEP = 64, 4
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -61,6 +64,7 @@ class Codec:
         self.lengths = {k: [*sorted(set(v), reverse=True), 2, 1] for k, v in self.lengths.items()}
         self.pattern = regex.compile(pattern)
         self.pairs: dict[int, bool] = {}
+        self.stems: dict[bytes, list[int]] = {}
         self._pieces: dict[str, bytes] = {}
 
     def merged(self, data: bytes, stop: int = 1) -> list[bytes]:
@@ -87,7 +91,7 @@ class Codec:
         at the border are taken apart, the later one first; a merge across the border must not come
         before the one just undone.
         """
-        if len(self.pairs) >= CACHE_ENTRIES:
+        if len(self.pairs) >= PAIR_ENTRIES:
             self.pairs.clear()
         key, rank, bytes_of, before = left << 32 | right, self.ranks.get, self.bytes_of, 1 << 62
         while True:
@@ -109,7 +113,68 @@ class Codec:
 
     def piece_ids(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self, piece).ids()
+        if whole is not None:
+            return [whole]
+        return self.read(piece, self.table(piece) if len(piece) <= STEM_BYTES else PrefixTable(self, piece).last)
+
+    def table(self, data: bytes) -> list[int]:
+        """A short piece's table, appended to that of its stem; stems are kept, as words share beginnings."""
+        cut = (len(data) - 1) // STEM_STEP * STEM_STEP
+        if cut < STEM_STEP:
+            last = [-1]
+        else:
+            stem = data[:cut]
+            last = self.stems.get(stem)
+            if last is None:
+                if len(self.stems) >= CACHE_ENTRIES:
+                    self.stems.clear()
+                last = self.stems[stem] = self.table(stem)
+            last = last.copy()
+        self.extend(data, last)
+        return last
+
+    def extend(self, data: bytes, last: list[int], old: list[int] | None = None, shift: int = 0, after: int = 0) -> int:
+        """Entries up to the end; stops where ``old`` (moved by ``shift``) holds again beyond ``after``.
+
+        Returns how many entries were computed.
+        """
+        start, same, longest = len(last), 0, self.longest
+        lengths_at, token_at, known, check = self.lengths.get, self.sound.get, self.pairs.get, self.side_by_side
+        for end in range(start, len(data) + 1):
+            found = -1
+            for length in lengths_at(data[end - 3 : end] if end > 2 else b"", (2, 1)):
+                begin = end - length
+                if begin < 0:
+                    continue
+                token = token_at(data[begin:end])
+                if token is None:
+                    continue
+                if not begin:
+                    found = token
+                    break
+                left = last[begin]
+                if left < 0:
+                    continue
+                fits = known(left << 32 | token)
+                if check(left, token) if fits is None else fits:
+                    found = token
+                    break
+            last.append(found)
+            if old is not None and end > after:
+                same = same + 1 if old[end - shift] == found else 0
+                if same >= longest:
+                    last.extend(old[end - shift + 1 :])
+                    return end + 1 - start
+        return max(0, len(data) + 1 - start)
+
+    def read(self, data: bytes, last: list[int]) -> list[int]:
+        """The encoding, read from the end of a table to its start."""
+        out, end = [], len(data)
+        while end:
+            token = last[end]
+            out.append(token)
+            end -= len(self.bytes_of[token])
+        return out[::-1]
 
     def encode(self, text: str | None) -> array:
         """Ids of a text as unsigned 32-bit integers."""
@@ -142,57 +207,17 @@ class PrefixTable:
 
     def append(self, data: bytes) -> None:
         self.data += data
-        self._fill(len(self.last))
-
-    def _fill(self, start: int, old: list[int] | None = None, shift: int = 0, after: int = 0) -> int:
-        """Entries from ``start`` on; stops where ``old`` (moved by ``shift``) holds again beyond ``after``.
-
-        Returns how many entries were computed.
-        """
-        last, data, same, longest = self.last, bytes(self.data), 0, self.codec.longest
-        lengths_at = self.codec.lengths.get
-        token_at, known, check = self.codec.sound.get, self.codec.pairs.get, self.codec.side_by_side
-        for end in range(start, len(data) + 1):
-            found = -1
-            for length in lengths_at(data[end - 3 : end] if end > 2 else b"", (2, 1)):
-                begin = end - length
-                if begin < 0:
-                    continue
-                token = token_at(data[begin:end])
-                if token is None:
-                    continue
-                if not begin:
-                    found = token
-                    break
-                left = last[begin]
-                if left < 0:
-                    continue
-                fits = known(left << 32 | token)
-                if check(left, token) if fits is None else fits:
-                    found = token
-                    break
-            last.append(found)
-            if old is not None and end > after:
-                same = same + 1 if old[end - shift] == found else 0
-                if same >= longest:
-                    last.extend(old[end - shift + 1 :])
-                    return end + 1 - start
-        return max(0, len(data) + 1 - start)
+        self.codec.extend(bytes(self.data), self.last)
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Put ``data`` in place of bytes ``start:end``; returns how many entries were computed."""
         old, shift = self.last, len(data) - (end - start)
         self.data[start:end] = data
         self.last = old[: start + 1]
-        return self._fill(len(self.last), old, shift, start + len(data))
+        return self.codec.extend(bytes(self.data), self.last, old, shift, start + len(data))
 
     def ids(self) -> list[int]:
-        """The encoding, read from the end of the table to its start."""
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end])
-            end -= len(self.codec.bytes_of[self.last[end]])
-        return out[::-1]
+        return self.codec.read(bytes(self.data), self.last)
 
 
 def task_codec(packed: bytes, pattern: str) -> Codec:
