@@ -106,10 +106,11 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     cut = F.transform(
         "places", lambda x: F.struct(*[x[c].alias(c) for c in ("item_id", "row", "n", "at", "place")], F.slice("raw", x["place"] + 1, window).alias("doc_words"))
     )
+    of_doc = texts.join(places, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k")))
+    # Stored, so that a text is split once and not for each of its windows.
+    raw = stored(of_doc.select("doc_id", "key", "places", _split(words(F.col("text"))).alias("raw")), "raw")
     hits = (
-        texts.join(places, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k")))
-        .select("doc_id", "key", "places", _split(words(F.col("text"))).alias("raw"))
-        .select("doc_id", "key", F.explode(cut).alias("x"))
+        raw.select("doc_id", "key", F.explode(cut).alias("x"))
         .select("doc_id", "key", "x.*")
         .join(_small(asked.select("row", "at", "item_words", "kinds")), ["row", "at"])
         .select(
