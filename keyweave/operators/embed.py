@@ -109,6 +109,14 @@ def _attach(
     )
 
 
-def flatten_children(df: DataFrame, into: str, keep: Sequence[str], ordinal: str = "ordinal") -> DataFrame:
-    """One row per embedded child with its place in the list (0-based)."""
-    return df.select(*keep, F.posexplode(into).alias(ordinal, "__child")).select(*keep, ordinal, "__child.*")
+def flatten_children(
+    df: DataFrame, into: str, keep: Sequence[str], ordinal: str = "ordinal", page: str | None = None, page_size: int = PAGE_SIZE
+) -> DataFrame:
+    """One row per embedded child with its place (0-based) among all children of the parent.
+
+    ``page`` names the page column that ``embed`` wrote and ``page_size`` its page size; without it, the
+    place is that in the row's own list.
+    """
+    before = F.lit(0) if page is None else F.col(page) * page_size
+    rows = df.select(*dict.fromkeys([*keep, *([page] if page else [])]), F.posexplode(into).alias(ordinal, "__child"))
+    return rows.select(*keep, (before + F.col(ordinal)).alias(ordinal), "__child.*")

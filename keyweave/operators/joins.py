@@ -92,7 +92,7 @@ def keyed_join(
         joined = keyed.join(side, F.col(_LEFT_KEY) == F.col(_KEY), how).drop(_LEFT_KEY)
         return joined.drop(_KEY) if keeps_right else joined
 
-    salts = max(2, min(512, shuffle_partitions(left)))
+    salts = max(2, shuffle_partitions(left))
     # Hashes serve keys of any type; here they only decide on which salts a key uses.
     hot = frequent_keys(left, F.xxhash64(key)) if exceeds_partition(left) else []
     spread = F.pmod(_row_hash(left), F.lit(salts)).cast("int")

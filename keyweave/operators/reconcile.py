@@ -97,10 +97,15 @@ def _counted(spec: CollectionSpec, items: DataFrame, columns: list[Column]) -> D
     return faults(items, spec, [present, *columns])
 
 
-def source_counts(specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
-    """Source rows and items due per collection; a table used by several collections is read once."""
+def source_counts(specs: dict[str, CollectionSpec], sources: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame | None:
+    """Source rows and items due per collection; a table used by several collections is read once.
+
+    Collections without any source table have no row; None if that is all of them.
+    """
     uses = [(t, n, t in specs[n].counted) for n in names for t in specs[n].sources if t in sources]
     tables = sorted({t for t, _, _ in uses})
+    if not tables:
+        return None
     spark = sources[tables[0]].sparkSession
     mapping = spark.createDataFrame(uses, "table_name string, collection string, counted boolean")
     counts = table_counts({t: sources[t] for t in tables})
@@ -130,9 +135,19 @@ def _checked(
         F.coalesce(F.sum(F.when(F.col("check") == "entity", F.col("items"))), zero).alias("entity_count"),
         F.collect_list(F.when(~count, message)).alias("faults"),
     )
-    joined = source_counts(specs, sources, collections).join(targets, "collection", "left")
+    spark = next(iter(collections.values())).sparkSession
+    asked = spark.createDataFrame([(n,) for n in collections], "collection string")
+    counts = source_counts(specs, sources, collections)
+    if counts is None:
+        counts = spark.createDataFrame([], "collection string, source_count bigint, expected_count bigint")
+    # From the collections asked for, so that none without a source or an item is missing.
+    joined = asked.join(counts, "collection", "left").join(targets, "collection", "left").withColumn(
+        "no_source", F.col("source_count").isNull()
+    )
     return joined.withColumns(
         {
+            "source_count": F.coalesce("source_count", zero),
+            "expected_count": F.coalesce("expected_count", zero),
             "target_count": F.coalesce("target_count", zero),
             "entity_count": F.coalesce("entity_count", zero),
             "faults": F.coalesce("faults", F.array().cast("array<string>")),
@@ -172,11 +187,13 @@ def verdicts(
     if present:
         s, t = F.col("source_count"), F.col("target_count")
         mismatch = F.concat(
-            F.lit("Record count mismatch: source="), s.cast("string"), F.lit(", target="), t.cast("string")
+            F.lit("Counts differ: "), s.cast("string"), F.lit(" source rows, "), t.cast("string"), F.lit(" items")
         )
         needed = F.col("collection").isin([n for n in present if not specs[n].may_be_empty])
         general = F.array(
-            F.when(~count_rule(specs), mismatch), F.when((t == 0) & needed, F.lit("No items in the collection"))
+            F.when(~count_rule(specs) & ~F.col("no_source"), mismatch),
+            F.when(F.col("no_source"), F.lit("No source table was given")),
+            F.when((t == 0) & needed, F.lit("No items in the collection"))
         )
         issues = F.array_sort(F.concat(F.array_compact(general), F.col("faults")))
         parts.append(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor reaches: ``spark.checkpoint.dir`` of the session.
 
-    Only a session without that setting (a test on one machine) gets a temporary folder.
+    Only a local session without that setting (a test on one machine) gets a temporary folder; on a
+    cluster no other machine would see it, so its absence is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured is None:
-        configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="keyweave-")
+        configured = context.getCheckpointDir()
+    if configured is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines reach")
+        configured = tempfile.mkdtemp(prefix="keyweave-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

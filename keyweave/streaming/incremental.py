@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,7 +19,11 @@ from keyweave.operators.upsert import KEYS, latest
 
 
 class DeltaLog:
-    """Batches of items under one folder: ``batch=N`` per load."""
+    """Batches of items under one folder: ``writes/batch=N`` per load, and ``base/upto=N`` for a fold.
+
+    A base holds all batches up to N. It has its own place, so a batch that the stream repeats after the
+    fold cannot overwrite it: such a batch is known to be in the base and is not written again.
+    """
 
     def __init__(self, spark: SparkSession, path: str, version: Sequence[str] = (), keys: Sequence[str] = KEYS):
         self.spark = spark
@@ -30,22 +35,49 @@ class DeltaLog:
         order = [*self.version, *[c for c in comparable_columns(df) if c not in {*self.keys, *self.version, "batch"}]]
         return latest(df, ["batch", *order] if "batch" in df.columns else order, self.keys)
 
-    def append(self, items: DataFrame, batch: int) -> None:
-        """Write one batch, reduced to one item per key. Writing the same batch again replaces it."""
-        self._latest(items).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+    def _part(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def _base(self) -> tuple[DataFrame | None, int]:
+        """The fold and the last batch in it (-1 without one)."""
+        base = self._part("base")
+        upto = -1 if base is None else base.agg(F.max("upto")).first()[0]
+        return (None, -1) if upto is None or base is None else (base.filter(F.col("upto") == upto), upto)
+
+    def append(self, items: DataFrame, batch: int) -> bool:
+        """Write one batch, reduced to one item per key; writing it again replaces it.
+
+        False if the batch is part of the base already, so nothing was written.
+        """
+        if batch <= self._base()[1]:
+            return False
+        self._latest(items).write.mode("overwrite").parquet(f"{self.path}/writes/batch={batch}")
+        return True
 
     def all_writes(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        """The base (as one batch) and every batch after it."""
+        base, upto = self._base()
+        writes = self._part("writes")
+        parts = [base.withColumnRenamed("upto", "batch")] if base is not None else []
+        parts += [writes.filter(F.col("batch") > upto)] if writes is not None else []
+        if not parts:
+            raise ValueError(f"no batch has been written to {self.path}")
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
     def read(self) -> DataFrame:
         """The collection: the newest write of each key."""
         return self._latest(self.all_writes()).drop("batch")
 
     def compact(self, target: str) -> DeltaLog:
-        """Fold all batches into one, in a new folder; the old log stays untouched for its readers."""
+        """Fold all batches into a base in a new folder; the old log stays untouched for its readers."""
         newest = self.all_writes().agg(F.max("batch")).first()[0]
         folded = DeltaLog(self.spark, target, self.version, self.keys)
-        folded.append(self.read(), newest)
+        self.read().write.parquet(f"{folded.path}/base/upto={newest}")
         return folded
 
 
@@ -58,16 +90,23 @@ def load_new_files(
     checkpoint: str,
     files_per_batch: int | None = None,
 ) -> int:
-    """Process all files that came since the last call, then stop. Returns the rows read."""
+    """Process all files that came since the last call, then stop. Returns the rows read by the batches written."""
+    counts: dict[int, int] = {}
+
+    def write(rows: DataFrame, batch: int) -> None:
+        seen = Observation()
+        if log.append(transform(rows.observe(seen, F.count(F.lit(1)).alias("rows"))), batch):
+            counts[batch] = seen.get["rows"]
+
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     query = (
         reader.parquet(source)
-        .writeStream.foreachBatch(lambda rows, batch: log.append(transform(rows), batch))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    return sum(counts.values())

@@ -249,10 +249,10 @@ def error_rollup(spark, sf_dir):
     return ledger.errors(_log(spark, sf_dir)).drop("run_id")
 
 
-# Saved states of every kind: valid, no JSON, cut off, of another shape, empty, without an id.
+# Saved states of every kind: whole, plain text, cut off inside a value, without an id, without a status.
 _STATES = """SELECT event_id, CASE event_id % 7
-  WHEN 1 THEN 'invalid json' WHEN 2 THEN '{{"incomplete": "json"' WHEN 3 THEN '{{"valid_json": "but_wrong_schema"}}' WHEN 4 THEN ''
-  WHEN 5 THEN '{{"migration_id": null, "status": "invalid"}}'
+  WHEN 1 THEN 'run;' || event_type WHEN 2 THEN '{{"migration_id": "run-' || CAST(event_id AS STRING)
+  WHEN 3 THEN '{{"status": "' || event_type || '", "tables": 3}}' WHEN 4 THEN '{{"migration_id": "run-' || CAST(event_id AS STRING) || '"}}'
   ELSE '{{"migration_id": "run-' || CAST(event_id AS STRING) || '", "status": "' || event_type || '", "total_records": 5}}' END AS state
 FROM {events}"""
 

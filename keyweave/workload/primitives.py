@@ -154,7 +154,7 @@ def _embedded(spark, sf_dir, page_size):
 )
 def embed_children(spark, sf_dir):
     lists = _embedded(spark, sf_dir, 10_000)
-    return flatten_children(lists, "InvoiceLines", ["InvoiceId", "LineCount"]).withColumn("ordinal", F.col("ordinal").cast("bigint"))
+    return flatten_children(lists, "InvoiceLines", ["InvoiceId", "LineCount"], page="page", page_size=10_000).withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
 @query(

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from keyweave.operators.embed import embed
+from keyweave.operators.embed import embed, flatten_children
 
 
 def run(spark, children, page_size=10_000):
@@ -38,6 +38,14 @@ def test_lists_and_pages(spark, skewed, page_size, forced):
         assert run(spark, CHILDREN, page_size) == expected
 
 
+def test_places_run_on_over_pages(spark):
+    parents = spark.range(1)
+    children = spark.range(5).select(F.lit(0).alias("parent"), F.col("id").alias("line"))
+    lists = embed(parents, "id", children, "parent", {"line": F.col("line")}, "lines", "n", page="page", page_size=2)
+    found = flatten_children(lists, "lines", ["id"], page="page", page_size=2).collect()
+    assert sorted((r["ordinal"], r["line"]) for r in found) == [(i, i) for i in range(5)]
+
+
 def test_children_are_shuffled_once(spark):
     parents = spark.range(10)
     children = spark.range(100).select((F.col("id") % 10).alias("parent"), F.col("id").alias("line"))

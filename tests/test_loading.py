@@ -151,6 +151,17 @@ def test_delta_log(spark, tmp_path, rows):
     assert rows(folded.read()) == rows(log.read()) and folded.all_writes().count() == 2
 
 
+def test_a_batch_repeated_after_a_fold_changes_nothing(spark, tmp_path, rows):
+    log = DeltaLog(spark, str(tmp_path / "log"))
+    log.append(items(spark, ("a", "1", 1), ("b", "1", 2)), 0)
+    log.append(items(spark, ("b", "1", 3)), 1)
+    folded = log.compact(str(tmp_path / "folded"))
+    assert folded.append(items(spark, ("b", "1", 3)), 1) is False
+    assert rows(folded.read()) == [("a", "1", 1), ("b", "1", 3)]
+    assert folded.append(items(spark, ("c", "1", 4)), 2)
+    assert rows(folded.read()) == [("a", "1", 1), ("b", "1", 3), ("c", "1", 4)]
+
+
 def test_incremental_load_reads_only_new_files(spark, tmp_path, rows):
     source, checkpoint = str(tmp_path / "source"), str(tmp_path / "checkpoint")
     log = DeltaLog(spark, str(tmp_path / "log"))

@@ -41,16 +41,24 @@ def test_unknown_and_missing(spark, tables):
 def test_empty_collections(spark, tables, built):
     none = {n: df.filter(F.lit(False)) for n, df in built.items()}
     found = verdict(spark, tables, **none)
-    assert found["music_catalog"]["issues"] == ["No items in the collection", "Record count mismatch: source=48, target=0"]
-    assert found["employee_data"]["issues"] == ["Record count mismatch: source=8, target=0"]
+    assert found["music_catalog"]["issues"] == ["Counts differ: 48 source rows, 0 items", "No items in the collection"]
+    assert found["employee_data"]["issues"] == ["Counts differ: 8 source rows, 0 items"]
     empty = generated(spark)
     sound = verdict(spark, empty, employee_data=build_all(empty)["employee_data"], music_catalog=build_all(empty)["music_catalog"])
     assert sound["employee_data"]["valid"] and sound["music_catalog"]["issues"] == ["No items in the collection"]
 
 
+def test_collections_without_sources_keep_their_line(spark, tables, built):
+    only = {"Employee": tables["Employee"]}
+    found = verdict(spark, only, employee_data=built["employee_data"], music_catalog=built["music_catalog"])
+    assert found["employee_data"]["valid"] and not found["music_catalog"]["valid"]
+    assert found["music_catalog"]["issues"] == ["No source table was given"] and found["music_catalog"]["target_count"] > 0
+    assert verdict(spark, {}, music_catalog=built["music_catalog"])["music_catalog"]["issues"] == ["No source table was given"]
+
+
 def test_employee_counts_are_exact(spark, tables, built):
     short = built["employee_data"].filter("EmployeeId > 1")
-    assert verdict(spark, tables, employee_data=short)["employee_data"]["issues"] == ["Record count mismatch: source=8, target=7"]
+    assert verdict(spark, tables, employee_data=short)["employee_data"]["issues"] == ["Counts differ: 8 source rows, 7 items"]
     more = built["playlist_data"].unionByName(built["playlist_data"])
     assert not verdict(spark, tables, playlist_data=more)["playlist_data"]["valid"]
 
