@@ -101,18 +101,21 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     there = windows(texts, ["doc_id", "key"], window).select("doc_id", "key", F.posexplode_outer("hashes").alias("place", "h"))
     met = stored(there.join(_small(asked.select("item_id", "row", "n", "at", "h")), "h").drop("h"), "met")
     # The words of the documents that were met, to read the values in the slots.
-    places = met.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item_id", "row", "n", "at", "place")).alias("places"))
-    places = _small(places.withColumnsRenamed({"doc_id": "d", "key": "k"}))
+    places = met.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
+        F.collect_list(F.struct("item_id", "row", "n", "at", "place")).alias("places")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k"))
     cut = F.transform(
         "places", lambda x: F.struct(*[x[c].alias(c) for c in ("item_id", "row", "n", "at", "place")], F.slice("raw", x["place"] + 1, window).alias("doc_words"))
     )
-    of_doc = texts.join(places, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k")))
+    wanted = _small(met.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct())
     # Stored, so that a text is split once and not for each of its windows.
-    raw = stored(of_doc.select("doc_id", "key", "places", _split(words(F.col("text"))).alias("raw")), "raw")
+    raw = stored(texts.join(wanted, same).select("doc_id", "key", _split(words(F.col("text"))).alias("raw")), "raw")
     hits = (
-        raw.select("doc_id", "key", F.explode(cut).alias("x"))
+        raw.join(places, same)
+        .select("doc_id", "key", F.explode(cut).alias("x"))
         .select("doc_id", "key", "x.*")
-        .join(_small(asked.select("row", "at", "item_words", "kinds")), ["row", "at"])
+        .join(asked.select("row", "at", "item_words", "kinds"), ["row", "at"])
         .select(
             "doc_id",
             "key",
