@@ -242,8 +242,14 @@ def related_data(tables: Tables, specs: Specs, table: str, keys: DataFrame) -> T
             fk for fk in specs[name].foreign_keys if fk.table == table and fk.ref_column == key
         ]
         if links:
-            # With several links to the same parent the last declared one counts.
-            found[name] = related_rows(df, links[-1].column, keys, key)
+            # A row counts once, by the first of its links that leads to one of the keys.
+            rest, parts = df, []
+            for i, fk in enumerate(links):
+                if i:
+                    before = keys.select(F.col(key).alias("__seen"))
+                    rest = rest.join(before, rest[links[i - 1].column] == F.col("__seen"), "left_anti")
+                parts.append(related_rows(rest, fk.column, keys, key))
+            found[name] = reduce(DataFrame.unionByName, parts)
     return found
 
 

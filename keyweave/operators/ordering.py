@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyweave.operators.joins import comparable_columns
 from keyweave.session import materialize, shuffle_partitions
 
 _SLICE, _ROW, _BEFORE, _COUNT = "__slice", "__row", "__before", "__count"
@@ -102,9 +103,10 @@ def page(
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of the order. No limit (or 0) means all that follow.
 
-    A shallow page uses Spark's top-k operator; anything deeper goes by positions.
+    A shallow page uses Spark's top-k operator; anything deeper goes by positions. Ties are ordered by the
+    other comparable columns in both, so the depth of a page does not change what is on it.
     """
-    order = _columns(order_by)
+    order = [*_columns(order_by), *_columns(comparable_columns(df))] if limit or offset else _columns(order_by)
     if limit and offset + limit <= TOP_ROWS_BOUND:
         ordered = df.orderBy(*order)
         return (ordered.offset(offset) if offset else ordered).limit(limit)

@@ -92,17 +92,20 @@ def index1_query(spark, sf_dir):
 @query(
     "index2_query",
     sql(
-        """SELECT 'name search' AS pattern, GSI2PK, GSI2SK, PK FROM i_track
+        """SELECT 'name search' AS pattern, GSI2PK, GSI2SK, PK FROM i_track WHERE GSI2PK IS NOT NULL
+        UNION ALL SELECT 'name search', GSI2PK, GSI2SK, PK FROM i_album WHERE GSI2PK IS NOT NULL
+        UNION ALL SELECT 'name search', GSI2PK, GSI2SK, PK FROM i_artist WHERE GSI2PK IS NOT NULL
         UNION ALL SELECT 'customers of rep', GSI2PK, GSI2SK, PK FROM i_customer
         WHERE SupportRepId IN (SELECT EmployeeId FROM t_employee)"""
     ),
 )
 def index2_query(spark, sf_dir):
-    """Exact name search for every track name, and the customers of every representative."""
+    """Exact name search for every track, album and artist name, and the customers of every representative."""
     tables = store_tables(spark, sf_dir)
-    names = tables["Track"].select(search_key("Name").alias("key"))
+    named = (("Track", "Name"), ("Album", "Title"), ("Artist", "Name"))
+    names = reduce(lambda a, b: a.unionByName(b), [tables[t].select(search_key(c).alias("key")) for t, c in named])
     reps = tables["Employee"].select(composite_key("SUPPORT_REP", "EmployeeId").alias("key"))
-    tracks = access.query_index_many(track_items(tables, STAMP), INDEX2, names, "key")
+    tracks = access.query_index_many(music_catalog(tables, STAMP), INDEX2, names, "key")
     customers = access.query_index_many(customer_data(tables, STAMP), INDEX2, reps, "key")
     columns = ("GSI2PK", "GSI2SK", "PK")
     return tracks.select(F.lit("name search").alias("pattern"), *columns).unionByName(
@@ -115,6 +118,7 @@ def index2_query(spark, sf_dir):
     sql(
         """SELECT GSI1PK, GSI1SK, PK, EntityType FROM i_track UNION ALL SELECT GSI1PK, GSI1SK, PK, EntityType FROM i_album
         UNION ALL SELECT GSI1PK, GSI1SK, PK, EntityType FROM i_artist
+        UNION ALL SELECT GSI1PK, GSI1SK, PK, EntityType FROM i_customer WHERE GSI1PK IS NOT NULL
         UNION ALL SELECT GSI1PK, GSI1SK, PK, EntityType FROM i_employee WHERE GSI1PK IS NOT NULL"""
     ),
 )
@@ -122,7 +126,8 @@ def sparse_index(spark, sf_dir):
     tables = store_tables(spark, sf_dir)
     columns = ("GSI1PK", "GSI1SK", "PK", "EntityType")
     music = access.index_layout(music_catalog(tables, STAMP).select(*columns), INDEX1)
-    return music.unionByName(access.index_layout(employee_data(tables, STAMP).select(*columns), INDEX1))
+    people = [access.index_layout(df.select(*columns), INDEX1) for df in (customer_data(tables, STAMP), employee_data(tables, STAMP))]
+    return reduce(lambda a, b: a.unionByName(b), people, music)
 
 
 @query("substring_search", sql("SELECT PK, Name, ArtistName FROM i_track WHERE upper(Name) LIKE '%RING%'"))
