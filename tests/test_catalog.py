@@ -62,6 +62,17 @@ def test_relationships(spark):
     assert found["Track"]["incoming_rows"] == 11 and found["Genre"]["outgoing_rows"] == 0
 
 
+def test_related_rows_by_every_link(spark):
+    specs = {
+        "Place": TableSpec("Place", ("id",)),
+        "Trip": TableSpec("Trip", ("id",), (ForeignKey("start", "Place", "id"), ForeignKey("goal", "Place", "id"))),
+    }
+    trips = spark.createDataFrame([(1, 5, 6), (2, 6, 5), (3, 5, 5), (4, 6, 7), (5, None, 5)], "id int, start int, goal int")
+    tables = {"Place": spark.createDataFrame([(5,), (6,), (7,)], "id int"), "Trip": trips}
+    found = catalog.related_data(tables, specs, "Place", spark.createDataFrame([(5,)], "id int"))
+    assert sorted(r["id"] for r in found["Trip"].collect()) == [1, 2, 3, 5]
+
+
 def test_related_data(spark):
     tables = hand_made(spark)
     keys = spark.createDataFrame([(1,)], "TrackId bigint")
