@@ -37,7 +37,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<=(?:password|passwd|token|secret|apikey|api_key|access_key)\x20{0,2}[=:]\x20{0,2}\x22?)[A-Za-z0-9/+_.-]{8,200}",
+    "secret": r"(?<=(?i:password|passwd|token|secret|apikey|api_key|access_key)\x20{0,2}[=:]\x20{0,2}\x22?)[A-Za-z0-9/+_.-]{8,}+",
     "local_phone": r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "name": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20\p{Lu}\p{Ll}+(?:\x20\p{Lu}\p{Ll}+)?",
 }

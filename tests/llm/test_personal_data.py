@@ -68,6 +68,19 @@ def test_labelers_add_spans(spark):
     assert found[31] == [("local_phone", 5, 17)] and found[33] == [("name", 5, 20)]
 
 
+def test_secrets_in_capitals_and_long_ones_are_whole(spark):
+    value = "9233A8EC" * 2
+    heads = ['TOKEN = "', "Password: ", "API_KEY=", "Access_Key = ", "token="]
+    texts = [f"mail a{i}@b.com, login {head}{value} now" for i, head in enumerate(heads)] * 6
+    long = "eyJhbGciOi1" * 300
+    texts.append(f"mail a@b.com, login secret={long} now")
+    found = spans_of(spark, texts)
+    for i, text in enumerate(texts):
+        inside = long if i == len(texts) - 1 else value
+        start = text.index(inside)
+        assert ("secret", start, start + len(inside)) in found[i], text[:60]
+
+
 def test_em_and_classifier():
     patterns = {(4, (1, 0, 1, 0, 1)): 50, (4, (1, 0, 1, 0, 0)): 40, (4, (-1, -1, 0, -1, 0)): 30, (4, (0, 0, 0, 0, 0)): 5}
     belief = estimate(patterns)
