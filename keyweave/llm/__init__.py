@@ -1,7 +1,7 @@
 """Operators for the data of language models. Nothing else in the library imports this package."""
 
 from keyweave.llm import bpe, decontaminate, exact_topk, katz, line_dedup, near_copies  # noqa: F401  (registration)
-from keyweave.llm import personal_data, repeated_spans, token_files, toxicity  # noqa: F401
+from keyweave.llm import personal_data, repeated_spans, token_files, token_links, toxicity  # noqa: F401
 from keyweave.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
