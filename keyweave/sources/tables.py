@@ -1,17 +1,18 @@
-"""Table sets from parquet folders and the item collections in the session's catalog."""
+"""Table sets from parquet folders, and stored item collections with the indexes that follow them."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyweave.operators.access import index_layout
-from keyweave.operators.upsert import keyed_upsert
-from keyweave.session import scratch_path, shuffle_partitions
-from keyweave.specs import CollectionSpec
+from keyweave.operators.access import index_items
+from keyweave.operators.upsert import KEYS
+from keyweave.session import scratch_path
+from keyweave.sources.files import Files
+from keyweave.sources.snapshots import Snapshots
+from keyweave.specs import IndexSpec
 
 
 class TableSet(Mapping):
@@ -42,10 +43,11 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> Table
 
 
 class CollectionStore:
-    """Collections as external parquet tables, range-sorted by their key.
+    """Collections below one folder, each as versions of a bucketed table (see ``snapshots``).
 
-    A change writes a new snapshot folder and then moves the table to it, so readers see the old or
-    the new state and nothing is overwritten while it is read.
+    A put writes only the buckets its keys fall into, keeps new attributes, and brings every index of the
+    collection up to the new version before it returns. Readers keep the version they have opened; old
+    versions go by ``vacuum``.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
@@ -53,39 +55,46 @@ class CollectionStore:
         self.root = (root or scratch_path(spark, "collections")).rstrip("/")
         self.prefix = prefix
 
-    def table(self, name: str) -> str:
-        return f"{self.prefix}{name}"
+    def path(self, name: str) -> str:
+        return f"{self.root}/{self.prefix}{name}"
 
-    def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(self.table(name))
+    def items(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, f"{self.path(name)}/items", KEYS)
 
-    def _snapshot(self, name: str, items: DataFrame) -> str:
-        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        keys = [F.col("PK"), F.col("SK")]
-        items.repartitionByRange(shuffle_partitions(items), *keys).sortWithinPartitions(*keys).write.parquet(path)
-        return path
+    def exists(self, name: str) -> bool:
+        return self.items(name).current() is not None
 
-    def create(self, name: str, items: DataFrame, force: bool = False) -> bool:
+    def create(self, name: str, items: DataFrame, force: bool = False, buckets: int | None = None) -> bool:
         """Create the collection; an existing one is kept unless ``force``. True when written."""
-        if self.exists(name):
-            if not force:
-                return False
-            self.drop(name)
-        path = self._snapshot(name, items)
-        self.spark.catalog.createTable(self.table(name), path=path, source="parquet")
+        store = self.items(name)
+        if store.current() is not None and not force:
+            return False
+        store.create(items, buckets)
+        self._follow(name)
         return True
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.table(self.table(name))
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        return self.items(name).read(version)
 
-    def upsert(self, name: str, items: DataFrame) -> None:
-        path = self._snapshot(name, keyed_upsert(self.read(name), items))
-        self.spark.sql(f"ALTER TABLE {self.table(name)} SET LOCATION '{path}'")
-        self.spark.catalog.refreshTable(self.table(name))
+    def get(self, name: str, pk: str, sk: str) -> DataFrame:
+        """One item, read from its bucket only."""
+        return self.items(name).get(pk, sk)
+
+    def upsert(self, name: str, items: DataFrame, removed: DataFrame | None = None) -> int:
+        """Put items and take out the keys in ``removed``; the indexes follow. Returns the new version."""
+        version = self.items(name).put(items, removed)
+        self._follow(name)
+        return version
 
     def drop(self, name: str) -> None:
-        """Remove the table; dropping one that does not exist is no error. Snapshots stay on disk."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
+        """Remove the collection with all versions and indexes; one that does not exist is no error."""
+        Files(self.spark, self.path(name)).remove()
+
+    def vacuum(self, name: str, keep: int = 1) -> None:
+        """Remove all versions but the last ``keep`` of the collection and of its indexes."""
+        self.items(name).vacuum(keep)
+        for index in self.indexes(name):
+            self._index(name, index).vacuum(keep)
 
     def item_count(self, name: str) -> int:
         return self.read(name).count() if self.exists(name) else 0
@@ -105,12 +114,57 @@ class CollectionStore:
             result = result.unionByName(part)
         return result
 
-    def write_index(self, spec: CollectionSpec, index: str, partitions: int | None = None) -> str:
-        """Write a sparse index of a stored collection as its own sorted table; returns its name."""
-        chosen = spec.index(index)
-        name = f"{spec.name}_{index.lower()}"
-        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        index_layout(self.read(spec.name), chosen, partitions).write.parquet(path)
-        self.drop(name)
-        self.spark.catalog.createTable(self.table(name), path=path, source="parquet")
-        return name
+    def indexes(self, name: str) -> list[IndexSpec]:
+        """Indexes that follow the collection."""
+        below = Files(self.spark, f"{self.path(name)}/indexes")
+        found = []
+        for index in below.names():
+            spec = Snapshots(self.spark, f"{below.folder}/{index}", KEYS).manifest()["note"]["index"]
+            found.append(IndexSpec(**spec))
+        return found
+
+    def _index(self, name: str, index: IndexSpec) -> Snapshots:
+        keys = (index.partition, *KEYS)
+        return Snapshots(self.spark, f"{self.path(name)}/indexes/{index.name}", keys, (index.partition, index.sort, *KEYS))
+
+    def add_index(self, name: str, index: IndexSpec) -> None:
+        """Build a sparse index of the stored collection; from now on it follows every put."""
+        store = self.items(name)
+        version = store.current()
+        self._index(name, index).create(
+            index_items(store.read(version), index), store.manifest(version)["buckets"], _note(index, version)
+        )
+
+    def read_index(self, name: str, index: IndexSpec) -> DataFrame:
+        """The index at the collection's current version; one left behind by a writer that stopped is brought up first."""
+        self._follow(name, [index])
+        return self._index(name, index).read()
+
+    def _follow(self, name: str, indexes: list[IndexSpec] | None = None) -> None:
+        """Apply the changes since each index's version to it.
+
+        An item whose index key moved or went is taken out under its old index key and put under its new
+        one. A put that is repeated after a stop finds the same changes and gives the same index.
+        """
+        store = self.items(name)
+        version = store.current()
+        for index in self.indexes(name) if indexes is None else indexes:
+            target = self._index(name, index)
+            at = target.manifest()["note"]["version"]
+            if at == version:
+                continue
+            if index.partition not in store.read(version).columns:
+                target.create(target.read().limit(0), note=_note(index, version))
+                continue
+            changed = store.changes(at, version)
+            there = changed.filter(_in_index(F.col("old"), index)).select(f"old.{index.partition}", *KEYS)
+            now = changed.filter(_in_index(F.col("new"), index)).select("new.*")
+            target.put(now, removed=there, note=_note(index, version))
+
+
+def _in_index(row: Column, index: IndexSpec) -> Column:
+    return row[index.partition].isNotNull() & (row[index.partition] != "")
+
+
+def _note(index: IndexSpec, version: int) -> dict:
+    return {"index": {"name": index.name, "partition": index.partition, "sort": index.sort}, "version": version}

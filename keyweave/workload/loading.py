@@ -15,9 +15,10 @@ from keyweave.operators.upsert import keyed_upsert as upsert
 from keyweave.operators.upsert import not_yet_written
 from keyweave.plans.build import build
 from keyweave.plans.catalog import track_items
-from keyweave.plans.customer import customer_data
+from keyweave.plans.customer import customer_data, customer_items
 from keyweave.plans.employee import employee_data
 from keyweave.plans.playlist import playlist_data
+from keyweave.plans.store import INDEX1, INDEX2
 from keyweave.session import scratch_path
 from keyweave.sources.sink import put_items, read_put_items
 from keyweave.sources.tables import CollectionStore
@@ -99,6 +100,47 @@ def collection_lifecycle(spark, sf_dir):
     return store.statistics(["playlist_data", "employee_data", "music_catalog"])
 
 
+@query(
+    "store_puts",
+    sql(
+        """SELECT PK, SK, CASE WHEN TrackId % 5 = 0 THEN UnitPrice + CAST(1 AS DOUBLE) ELSE UnitPrice END AS UnitPrice,
+        CASE WHEN TrackId % 5 = 0 THEN 'put' END AS Remark FROM i_track WHERE (TrackId % 3 <> 0 OR TrackId % 5 = 0) AND TrackId % 7 <> 0"""
+    ),
+)
+def store_puts(spark, sf_dir):
+    """A collection, a put with new prices and a new attribute, and a put that takes items out."""
+    store, tracks = _store(spark), track_items(store_tables(spark, sf_dir), STAMP)
+    raised = tracks.filter("TrackId % 5 = 0").withColumns({"UnitPrice": F.col("UnitPrice") + F.lit(1.0), "Remark": F.lit("put")})
+    store.create("tracks", tracks.filter("TrackId % 3 <> 0"))
+    store.upsert("tracks", raised)
+    store.upsert("tracks", tracks.limit(0), removed=tracks.filter("TrackId % 7 = 0"))
+    return store.read("tracks").select("PK", "SK", "UnitPrice", "Remark")
+
+
+@query(
+    "index_follows_puts",
+    sql(
+        """SELECT GSI1PK AS key, GSI1SK AS sort, PK, 'GSI1' AS index_name FROM i_customer WHERE CustomerId % 4 <> 2
+        UNION ALL SELECT CASE WHEN CustomerId % 4 = 0 THEN 'SUPPORT_REP#' || (SupportRepId + 1) ELSE GSI2PK END, GSI2SK, PK, 'GSI2'
+        FROM i_customer WHERE CustomerId % 4 IN (0, 3) AND GSI2PK IS NOT NULL"""
+    ),
+)
+def index_follows_puts(spark, sf_dir):
+    """Both indexes of the customers after a put that moves, ends and removes index keys."""
+    store, profiles = _store(spark), customer_items(store_tables(spark, sf_dir), STAMP)
+    store.create("customers", profiles)
+    for index in (INDEX1, INDEX2):
+        store.add_index("customers", index)
+    turn = F.col("CustomerId") % 4
+    moved = F.when((turn == 0) & F.col("GSI2PK").isNotNull(), composite_key("SUPPORT_REP", F.col("SupportRepId") + 1))
+    store.upsert("customers", profiles.filter(turn < 2).withColumn("GSI2PK", moved), removed=profiles.filter(turn == 2))
+    parts = [
+        store.read_index("customers", i).select(F.col(i.partition).alias("key"), F.col(i.sort).alias("sort"), "PK", F.lit(i.name).alias("index_name"))
+        for i in (INDEX1, INDEX2)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "target_stats",
     sql(
