@@ -73,28 +73,33 @@ def wire_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, wire_type(f.dataType)) for f in schema.fields])
 
 
-def _plain(value: Column, dtype: T.DataType) -> Column:
-    """The value under the tag; numbers become doubles."""
+def _plain(value: Column, dtype: T.DataType, number: str | None) -> Column:
+    """The value under the tag; numbers in the declared type, or all of them as ``number``."""
     if isinstance(dtype, T.BooleanType):
         return value["BOOL"]
     if isinstance(dtype, T.NumericType):
-        return value["N"].cast("double")
+        return value["N"].cast(number or dtype)
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value["L"], lambda item: _plain(item, dtype.elementType))
+        return F.transform(value["L"], lambda item: _plain(item, dtype.elementType, number))
     if isinstance(dtype, T.StructType):
         inner = value["M"]
-        fields = F.struct(*[_plain(inner[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+        fields = F.struct(*[_plain(inner[f.name], f.dataType, number).alias(f.name) for f in dtype.fields])
         return F.when(inner.isNotNull(), fields)
     if isinstance(dtype, T.MapType):
-        return F.transform_values(value["M"], lambda _, v: _plain(v, dtype.valueType))
-    return value["S"]
+        return F.transform_values(value["M"], lambda _, v: _plain(v, dtype.valueType, number))
+    return value["S"] if isinstance(dtype, T.StringType) else value["S"].cast(dtype)
 
 
-def decode_items(df: DataFrame, schema: T.StructType, item: str = "item", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Read encoded items back into columns; ``schema`` is the schema they were encoded from."""
+def decode_items(
+    df: DataFrame, schema: T.StructType, item: str = "item", keep: tuple[str, ...] = (), number: str | None = None
+) -> DataFrame:
+    """Read encoded items back into columns; ``schema`` is the schema they were encoded from, or a part of it.
+
+    Numbers get their declared type, so a long id keeps all its digits; ``number="double"`` reads all of them alike.
+    """
     parsed = df.withColumn("__wire", F.from_json(F.col(item), wire_schema(schema)))
     return parsed.select(
-        *keep, *[_plain(F.col("__wire")[f.name], f.dataType).alias(f.name) for f in schema.fields]
+        *keep, *[_plain(F.col("__wire")[f.name], f.dataType, number).alias(f.name) for f in schema.fields]
     )
 
 

@@ -16,6 +16,7 @@ from keyweave.functions import (
     with_defaults,
 )
 from keyweave.functions.codec import decode_attribute, decode_items, encode_items
+from keyweave.functions.variant import attribute, attribute_names, merged, to_variant, wire, wire_attribute
 from keyweave.operators.embed import embed, flatten_children
 from keyweave.operators.joins import lookup, or_default
 from keyweave.operators.reconcile import transform_summary as summarise
@@ -25,6 +26,7 @@ from keyweave.plans.customer import customer_items, invoice_items
 from keyweave.plans.employee import employee_data
 from keyweave.plans.playlist import playlist_items, playlist_track_items
 from keyweave.plans.store import COLLECTIONS, UNKNOWN, UNKNOWN_ARTIST
+from keyweave.session import scratch_path
 from keyweave.workload.adapter import STAMP, counts_sql, sql, store_tables
 from keyweave.workload.registry import query
 
@@ -268,7 +270,8 @@ def encode(spark, sf_dir):
 def decode(spark, sf_dir):
     """Invoices with their line lists, encoded and decoded again."""
     items = invoice_items(store_tables(spark, sf_dir), STAMP)
-    decoded = decode_items(encode_items(items), items.schema)
+    columns = ("PK", "SK", "InvoiceDate", "Total", "LineCount", "InvoiceLines")
+    decoded = decode_items(encode_items(items), items.select(*columns).schema, number="double")
     return decoded.select(
         "PK", "SK", "InvoiceDate", "Total", "LineCount", F.coalesce(F.size("InvoiceLines"), F.lit(0)).cast("bigint").alias("lines"),
         line_cents("InvoiceLines").alias("line_cents"),
@@ -280,3 +283,81 @@ def line_cents(lines):
     cents = F.transform(lines, lambda line: F.round(line["LineTotal"] * 100).cast("bigint"))
     total = F.aggregate(cents, F.lit(0).cast("bigint"), lambda a, b: a + b)
     return F.coalesce(total, F.lit(0).cast("bigint"))
+
+
+_EXACT = "CAST(9007199254740993 AS BIGINT)"
+
+
+@query(
+    "decode_exact",
+    sql(
+        f"""SELECT 'INVOICE#' || o_orderkey AS PK, o_orderkey + {_EXACT} AS big_id, o_orderpriority = '1-URGENT' AS urgent, n AS lines,
+        big AS line_ids, cents, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS even, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS odd,
+        CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + {_EXACT} END AS nested_id
+        FROM orders JOIN l ON l_orderkey = o_orderkey""",
+        l=f"""SELECT l_orderkey, count(*) AS n, CAST(sum(l_partkey + {_EXACT}) AS VARCHAR) AS big,
+        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem GROUP BY l_orderkey""",
+    ),
+)
+def decode_exact(spark, sf_dir):
+    """Items with long ids, a flag, a list of maps, a map and a nested map: typed text, then VARIANT, read path by path."""
+    orders, lines = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    beyond = F.lit(9007199254740993)
+    items = (
+        embed(
+            orders.withColumn("key", F.col("o_orderkey")), "key", lines, "l_orderkey",
+            {"Id": F.col("l_partkey") + beyond, "Price": F.col("l_extendedprice")}, into="Lines", count="LineCount",
+        )
+        .filter("LineCount > 0")
+        .select(
+            composite_key("INVOICE", "key").alias("PK"),
+            (F.col("key") + beyond).alias("BigId"),
+            (F.col("o_orderpriority") == "1-URGENT").alias("Urgent"),
+            "Lines",
+            F.create_map(F.when(F.col("key") % 2 == 0, "even").otherwise("odd"), "o_orderstatus").alias("Parity"),
+            F.when(F.col("key") % 3 == 0, F.struct((F.col("o_custkey") + beyond).alias("Id"), F.lit("x").alias("Kind"))).alias("Customer"),
+        )
+    )
+    schema = items.schema
+    read = encode_items(items).select(wire("item").alias("item")).select(
+        *[wire_attribute(F.col("item"), [c], schema[c].dataType).alias(c) for c in ("PK", "BigId", "Urgent", "Lines", "Parity")],
+        wire_attribute(F.col("item"), ["Customer", "Id"], schema["BigId"].dataType).alias("nested_id"),
+    )
+    exact = F.aggregate(F.transform("Lines", lambda x: x["Id"].cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"), lambda a, b: (a + b).cast("decimal(38,0)"))
+    cents = F.aggregate(F.transform("Lines", lambda x: F.round(x["Price"] * 100).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return read.select(
+        "PK", F.col("BigId").alias("big_id"), F.col("Urgent").alias("urgent"), F.size("Lines").cast("bigint").alias("lines"),
+        exact.cast("string").alias("line_ids"), cents.alias("cents"), F.col("Parity")["even"].alias("even"), F.col("Parity")["odd"].alias("odd"),
+        "nested_id",
+    )
+
+
+@query(
+    "sparse_variant",
+    sql(
+        """SELECT PK, SK, AlbumId, GenreName, UnitPrice, Name || CASE WHEN AlbumId IS NULL THEN '?' ELSE '' END AS Name,
+        6 + CASE WHEN AlbumTitle IS NULL THEN 0 ELSE 2 END + CASE WHEN GenreName IS NULL THEN 0 ELSE 1 END
+        + CASE WHEN AlbumId IS NULL THEN 1 ELSE 0 END AS attributes FROM i_track"""
+    ),
+)
+def sparse_variant(spark, sf_dir):
+    """Tracks stored as VARIANT with what they have; changed, stored again, and read by single paths."""
+    tracks = track_items(store_tables(spark, sf_dir), STAMP).select(
+        "PK", "SK", "TrackId", "Name", "UnitPrice", "MediaTypeId", "MediaTypeName", "ArtistName", "AlbumId", "AlbumTitle", "GenreName"
+    )
+    path = scratch_path(spark, "variants")
+    to_variant(tracks).write.parquet(path)
+    stored = spark.read.parquet(path)
+    # Tracks without an album get a mark and another name.
+    change = F.to_json(F.struct(F.concat(attribute("item", "Name", "string"), F.lit("?")).alias("Name"), F.lit(True).alias("Single")))
+    single = attribute("item", "AlbumId", "bigint").isNull()
+    changed = stored.withColumn("item", F.when(single, merged("item", F.parse_json(change))).otherwise(F.col("item")))
+    return changed.select(
+        "PK",
+        "SK",
+        attribute("item", "AlbumId", "bigint").alias("AlbumId"),
+        attribute("item", "GenreName", "string").alias("GenreName"),
+        attribute("item", "UnitPrice", "double").alias("UnitPrice"),
+        attribute("item", "Name", "string").alias("Name"),
+        F.size(attribute_names("item")).cast("bigint").alias("attributes"),
+    )
