@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -39,3 +40,15 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("missing", ["keyweave.llm", "corpus_pipeline", "xxhash", "public_tokenizers"])
+def test_entry_without_an_optional_part(missing):
+    """In a process of its own, as modules that are loaded already would hide what is missing."""
+    code = f"""import sys; sys.modules[{missing!r}] = None
+import __spark_entry__ as e
+print(len(e.queries()), len(e.oracle_sql()))"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(entry.__file__), timeout=120)
+    assert done.returncode == 0, done.stderr
+    n, with_sql = map(int, done.stdout.split())
+    assert n >= len(QUERIES) and with_sql >= len(ORACLES)
