@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyweave.operators import ordering
-from keyweave.operators.ordering import batches, page, resume_after, with_group_positions, with_positions
+from keyweave.operators.ordering import PositionIndex, batches, page, resume_after, with_group_positions, with_positions
 
 
 def test_positions_follow_the_order(spark):
@@ -66,3 +66,45 @@ def test_batches(spark, size, sizes):
 def test_batch_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         batches(spark.range(3), ["id"], 0)
+
+
+def _sorted_rows(rows, *columns):
+    """Rows by (name, descending) columns; nulls first ascending and last descending, as Spark has them."""
+    rows = sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in r))
+    for name, descending in reversed(columns):
+        rows.sort(key=lambda r: (r[name] is not None, r[name] if r[name] is not None else 0), reverse=descending)
+    return rows
+
+
+@pytest.mark.parametrize("columns", [(("a", False),), (("a", True),), (("s", False), ("a", True)), (("a", False), ("s", True), ("id", False))])
+def test_pages_of_a_position_index(spark, columns):
+    df = spark.range(400).select(
+        F.when(F.col("id") % 9 > 0, (F.col("id") * 7 % 40).cast("double")).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), (F.col("id") % 3).cast("string"))).alias("s"),
+        "id",
+    )
+    order = [F.desc(c) if down else F.col(c) for c, down in columns]
+    index = PositionIndex(df, order, partitions=5)
+    every = _sorted_rows(df.collect(), *columns)
+    assert index.rows == 400 and set(index.slices.columns) == {c for c, _ in columns} | {"__slice"}
+    for offset, limit in ((0, 10), (3, 1), (44, 100), (199, 7), (390, 50), (0, None), (250, None), (400, 5), (399, None)):
+        found = sorted(r["id"] for r in index.page(df, offset, limit).collect())
+        assert found == sorted(r["id"] for r in every[offset : None if limit is None else offset + limit]), (offset, limit)
+
+
+def test_pages_of_equal_rows(spark):
+    df = spark.range(100).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("v"))
+    assert PositionIndex(df, ["k"]).page(df, 30, 50).count() == 50
+    assert PositionIndex(df.limit(0), ["k"]).page(df.limit(0), 0, 5).count() == 0
+    with pytest.raises(ValueError):
+        PositionIndex(df, [F.col("v") + 1])
+
+
+def test_a_deep_page_is_a_range_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordering, "TOP_ROWS_BOUND", 10)
+    spark.range(1000).select("id", F.concat(F.lit("payload"), "id").alias("payload")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = page(df, ["id"], 100, 500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Or(GreaterThan(id,500),EqualTo(id,500))" in plan and "LessThan(id,600)" in plan and "Exchange" not in plan
+    assert sorted(r["id"] for r in found.collect()) == list(range(500, 600))
