@@ -39,9 +39,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder. Like ``materialize``, but the rounds of a loop do not multiply
+    the estimated size, which here is that of the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of the optimized plan; many joins can make it a number beyond all bounds."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except ValueError:  # more digits than Python reads
+        return 1 << 62
 
 
 def fits_broadcast(df: DataFrame, factor: int = 1) -> bool:

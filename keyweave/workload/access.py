@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from keyweave.functions import composite_key, search_key
 from keyweave.operators import access
 from keyweave.operators.hierarchy import depths
+from keyweave.operators.subtree import pairs_below, subtree, subtree_labels, subtree_totals, write_labels
 from keyweave.plans.build import build_all
 from keyweave.plans.catalog import music_catalog, track_items
 from keyweave.plans.customer import customer_data
 from keyweave.plans.employee import employee_data
 from keyweave.plans.store import INDEX1, INDEX2
+from keyweave.session import scratch_path
 from keyweave.workload.adapter import STAMP, sql, store_tables
 from keyweave.workload.registry import query
 
@@ -203,3 +205,50 @@ def org_chart_depth(spark, sf_dir):
     """Top and depth of every customer in a tree of all customers."""
     people = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey AS CustomerId", "c_custkey div 10 AS ReportsTo")
     return depths(people, "CustomerId", "ReportsTo")
+
+
+_TREE = "SELECT c_custkey AS id, c_custkey // 10 AS up, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer"
+_BELOW = """walk AS (SELECT id, up, cents, 0 AS depth, id AS node FROM t
+    UNION ALL SELECT t.id, t.up, w.cents, w.depth + 1, w.node FROM walk w JOIN t ON t.id = w.up AND w.up <> 0)"""
+
+
+def _org_labels(spark, sf_dir):
+    people = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey AS id", "c_custkey div 10 AS up", "c_acctbal")
+    labels = subtree_labels(people, "id", "up")
+    # Both sides have an id once.
+    return labels.join(people.select("id", "c_acctbal"), "id")
+
+
+@query(
+    "subtree_totals",
+    sql(
+        """SELECT id, CAST(count(*) - 1 AS BIGINT) AS below, CAST(sum(CASE WHEN node <> id THEN cents ELSE 0 END) AS BIGINT) AS cents_below
+        FROM walk GROUP BY id""",
+        _BELOW,
+        t=_TREE,
+    ),
+)
+def subtree_totals_query(spark, sf_dir):
+    """Number and balance of all customers below each one, at any level."""
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
+    return subtree_totals(_org_labels(spark, sf_dir), {"cents_below": cents}).select("id", "below", "cents_below")
+
+
+@query("reports_below", sql("SELECT id AS above, node AS below FROM walk WHERE depth > 0", _BELOW, t=_TREE))
+def reports_below(spark, sf_dir):
+    """Everyone below everyone: all subtrees at once."""
+    return pairs_below(_org_labels(spark, sf_dir), "id")
+
+
+@query(
+    "one_subtree",
+    sql("SELECT node AS id, depth FROM walk WHERE depth > 0 AND id = (SELECT min(id) FROM t)", _BELOW, t=_TREE),
+)
+def one_subtree(spark, sf_dir):
+    """Everyone below the first customer, from stored labels: two bounds of the scan."""
+    path = scratch_path(spark, "labels")
+    write_labels(_org_labels(spark, sf_dir).select("id", "first", "last", F.col("depth").alias("level")), path)
+    labels = spark.read.parquet(path)
+    first = labels.agg(F.min("id")).first()[0]
+    top = labels.filter(F.col("id") == first).select("level").scalar()
+    return subtree(labels, "id", first).select("id", (F.col("level") - top).alias("depth"))
