@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyweave.functions.keys import is_linked
 from keyweave.operators.joins import keyed_join, one_row_per_key
-from keyweave.session import materialize
+from keyweave.session import materialize, scratch_path, shuffle_partitions, stored
 
 
 def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
@@ -21,6 +23,11 @@ def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
     """
     nodes = df.select(F.col(key).alias("node"), F.when(is_linked(parent), F.col(parent)).alias("up"))
     nodes = one_row_per_key(nodes, ["node"], [F.col("up").desc_nulls_last()])
+    return _chain_ends(nodes).withColumnRenamed("node", key)
+
+
+def _chain_ends(nodes: DataFrame) -> DataFrame:
+    """``depths`` of distinct rows (``node``, ``up``); any value but NULL is a link."""
     known = nodes.select(F.col("node").alias("known"))
     existing = keyed_join(nodes, known.withColumn("found", F.lit(True)), "up", "known", rows_of=nodes)
     chains = materialize(
@@ -56,35 +63,71 @@ def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
     looping = active.select(
         "node", F.lit(None).cast(active.schema["node"].dataType).alias("root"), F.lit(None).cast("bigint").alias("depth")
     )
-    return done.unionByName(looping).withColumnRenamed("node", key)
+    return done.unionByName(looping)
 
 
-def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def layers(nodes: DataFrame, edges: DataFrame, buckets: int | None = None) -> DataFrame:
     """Rows (``node``, ``layer``): nodes referenced by others come in earlier layers.
 
-    ``edges`` has (``node``, ``needs``). Edges to itself or to no node are ignored. A round takes
-    out all nodes without open needs, so there are as many rounds as layers; when no node is free,
-    the rest is one cycle-bound layer, the last.
+    ``edges`` has (``node``, ``needs``). Edges to itself or to no node are ignored. A node without needs is in
+    layer 0, any other one behind the last of its needs. Nodes on a cycle, or behind one, have no such place:
+    they make up the last layer.
+
+    Chains of nodes with a single need are resolved first by doubling, so a chain of n layers takes
+    log2(n) joins. The nodes with more needs are then freed by a frontier: a round reads the links of the nodes
+    that the last round freed (their buckets only), and moves only nodes that these links reach and that wait
+    for more.
     """
     names = nodes.select("node").distinct()
-    remaining = materialize(names)
     links = edges.filter(F.col("node") != F.col("needs")).select("node", "needs").distinct()
-    links = keyed_join(links, remaining.withColumnRenamed("node", "n"), "needs", "n", "left_semi")
-    links = materialize(keyed_join(links, remaining.withColumnRenamed("node", "n"), "node", "n", "left_semi"))
-    parts, layer = [], 0
-    while not remaining.isEmpty():
-        # Nodes are unique here; only the links can have a hot end.
-        ready = materialize(remaining.join(links.select("node").distinct(), "node", "left_anti"))
-        if ready.isEmpty():
-            ready = remaining
-        parts.append(ready.withColumn("layer", F.lit(layer).cast("bigint")))
-        gone = ready.withColumnRenamed("node", "g")
-        remaining = materialize(remaining.join(ready, "node", "left_anti"))
-        links = materialize(keyed_join(links, gone, "needs", "g", "left_anti"))
-        layer += 1
-    if not parts:
-        return names.withColumn("layer", F.lit(0).cast("bigint"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    links = keyed_join(links, names.withColumnRenamed("node", "n"), "needs", "n", "left_semi")
+    links = stored(keyed_join(links, names.withColumnRenamed("node", "n"), "node", "n", "left_semi"), "links")
+    counts = links.groupBy("node").agg(F.count(F.lit(1)).alias("open"), F.max("needs").alias("one"))
+    # Both sides have a node once. Where a node has one need it hangs on it, all others are ends of chains.
+    counted = stored(names.join(counts, "node", "left").withColumn("open", F.coalesce("open", F.lit(0))), "needs")
+    hanging = counted.select("node", F.when(F.col("open") == 1, F.col("one")).alias("up"))
+    chains = stored(_chain_ends(hanging), "chains")
+    freed = _free(links, counted, chains, buckets or shuffle_partitions(nodes))
+    ends = freed.select(F.col("node").alias("end"), F.col("layer").alias("end_layer"))
+    placed = keyed_join(chains, ends, "root", "end", rows_of=names).select(
+        "node", (F.col("end_layer") + F.col("depth")).alias("layer")
+    )
+    placed = stored(placed, "layers")
+    last = placed.agg(F.coalesce(F.max("layer") + 1, F.lit(0)).alias("last")).scalar()
+    return placed.select("node", F.coalesce("layer", last).cast("bigint").alias("layer"))
+
+
+def _free(links: DataFrame, counted: DataFrame, chains: DataFrame, buckets: int) -> DataFrame:
+    """Layers of the ends of chains: nodes without needs, and nodes with several once all of these are placed."""
+    spark = links.sparkSession
+    several = counted.filter("open > 1").select("node")
+    # A need stands for the end of its chain, so many steps further; of several to one end the longest counts.
+    needs = keyed_join(links, several.withColumnRenamed("node", "n"), "node", "n", "left_semi")
+    ends = chains.select(F.col("node").alias("m"), F.col("root").alias("end"), F.col("depth").alias("steps"))
+    reduced = keyed_join(needs, ends, "needs", "m", rows_of=chains).groupBy("node", "end").agg(F.max(F.col("steps") + 1).alias("steps"))
+    # A need without an end leads into a cycle: it is counted, and never freed.
+    total = reduced.groupBy("node").agg(F.count(F.lit(1)).alias("all"))
+    path = scratch_path(spark, "needed_by")
+    at = F.pmod(F.xxhash64("end"), F.lit(buckets)).cast("int")
+    counts = total.select(F.col("node").alias("n"), "all")
+    with_all = keyed_join(reduced.filter("end IS NOT NULL"), counts, "node", "n", rows_of=counted).select(*reduced.columns, "all")
+    # An end that very many nodes need fills its bucket: several tasks write it.
+    spread = F.pmod(F.xxhash64("node"), F.lit(16))
+    with_all.withColumn("bucket", at).repartition("bucket", spread).write.partitionBy("bucket").parquet(path)
+    by_end = spark.read.schema(T.StructType([*reduced.schema, T.StructField("all", T.LongType()), T.StructField("bucket", T.IntegerType())])).parquet(path)
+    frontier = stored(counted.filter("open = 0").select("node", F.lit(0).cast("bigint").alias("layer")), "frontier")
+    done, waiting = [frontier], None
+    while True:
+        touched = [r[0] for r in frontier.select(F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int")).distinct().collect()]
+        if not touched:
+            break
+        reached = keyed_join(
+            by_end.filter(F.col("bucket").isin(touched)), frontier.select(F.col("node").alias("freed"), "layer"), "end", "freed", "inner"
+        ).select("node", "all", F.lit(1).cast("bigint").alias("met"), (F.col("layer") + F.col("steps")).alias("layer"))
+        moved = reached if waiting is None else reached.unionByName(waiting)
+        state = stored(moved.groupBy("node").agg(F.max("all").alias("all"), F.sum("met").alias("met"), F.max("layer").alias("layer")), "reached")
+        frontier, waiting = state.filter("met = all").select("node", "layer"), state.filter("met < all")
+        done.append(frontier)
+        if len(done) > 50:  # so that the plan stays small
+            done = [stored(reduce(DataFrame.unionByName, done), "freed")]
+    return reduce(DataFrame.unionByName, done)
