@@ -61,6 +61,9 @@ class Snapshots:
             self._manifests[version] = self._files.read_json(f"{version:010d}")
         return self._manifests[version]
 
+    def schema(self, version: int | None = None) -> T.StructType:
+        return _schema(self.manifest(version))
+
     def _commit(self, version: int, manifest: dict) -> int:
         if not self._files.write_json_once(f"{version:010d}", manifest):
             raise Conflict(f"version {version} of {self.path} exists already")

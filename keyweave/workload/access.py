@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from keyweave.functions import composite_key, search_key
 from keyweave.operators import access
 from keyweave.operators.hierarchy import depths
+from keyweave.operators.substring import SubstringIndex
 from keyweave.operators.subtree import pairs_below, subtree, subtree_labels, subtree_totals, write_labels
 from keyweave.plans.build import build_all
 from keyweave.plans.catalog import music_catalog, track_items
 from keyweave.plans.customer import customer_data
 from keyweave.plans.employee import employee_data
 from keyweave.plans.store import INDEX1, INDEX2
+from keyweave.operators.upsert import KEYS
 from keyweave.session import scratch_path
+from keyweave.sources.snapshots import Snapshots
 from keyweave.workload.adapter import STAMP, sql, store_tables
 from keyweave.workload.registry import query
 
@@ -137,6 +140,24 @@ def substring_search(spark, sf_dir):
     return access.contains(track_items(store_tables(spark, sf_dir), STAMP), "Name", "ring").select("PK", "Name", "ArtistName")
 
 
+@query(
+    "substring_index",
+    sql(
+        """SELECT 'RING' AS text, PK, Name FROM i_track WHERE upper(Name) LIKE '%RING%' UNION ALL SELECT 'l r', PK, Name FROM i_track WHERE upper(Name) LIKE '%L R%'
+        UNION ALL SELECT '7', PK, Name FROM i_track WHERE upper(Name) LIKE '%7%' UNION ALL SELECT 'xyzq', PK, Name FROM i_track WHERE upper(Name) LIKE '%XYZQ%'"""
+    ),
+)
+def substring_index(spark, sf_dir):
+    """Searches of a stored collection through lists of trigrams: only candidates' buckets are read."""
+    tracks = track_items(store_tables(spark, sf_dir), STAMP)
+    folder = scratch_path(spark, "search")
+    store, index = Snapshots(spark, f"{folder}/items", KEYS), SubstringIndex(spark, f"{folder}/names", "Name")
+    store.create(tracks)
+    index.build(store.read())
+    found = [index.search(store, text).select(F.lit(text).alias("text"), "PK", "Name") for text in ("RING", "l r", "7", "xyzq")]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("filter_by_genre", sql("SELECT PK, Name, GenreName FROM i_track WHERE GenreId = 7"))
 def filter_by_genre(spark, sf_dir):
     found = access.where(music_catalog(store_tables(spark, sf_dir), STAMP), GenreId=7, EntityType="Track")

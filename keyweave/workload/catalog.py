@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from keyweave.operators import catalog
 from keyweave.operators.hierarchy import layers
+from keyweave.operators.kept_profile import LG_K, kept_profile
 from keyweave.operators.ordering import page
 from keyweave.plans.store import TABLES
 from keyweave.session import scratch_path
 from keyweave.sources.sink import local_folder
+from keyweave.sources.snapshots import Snapshots
 from keyweave.sources.sqlite import read_sqlite
 from keyweave.sources.tables import read_tables
 from keyweave.specs import TableSpec
@@ -285,3 +287,32 @@ def table_load_order(spark, sf_dir):
 )
 def source_stats(spark, sf_dir):
     return catalog.source_statistics(store_tables(spark, sf_dir), TABLES)
+
+
+@query(
+    "profile_after_put",
+    """SELECT 'PK' AS column_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_count, true AS within_bound FROM orders WHERE o_orderkey % 5 <> 4
+    UNION ALL SELECT 'o_custkey', count(*), 0, true FROM orders WHERE o_orderkey % 5 <> 4
+    UNION ALL SELECT 'o_orderstatus', count(*), count(*) FILTER (WHERE o_orderkey % 5 = 3), true FROM orders WHERE o_orderkey % 5 <> 4
+    UNION ALL SELECT 'o_totalprice', count(*), 0, true FROM orders WHERE o_orderkey % 5 <> 4""",
+)
+def profile_after_put(spark, sf_dir):
+    """Profile of stored orders, kept over a put that empties a column of some and one that removes others.
+
+    Distinct counts are estimates: they are told as whether they lie within four standard errors of the exact ones.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.concat(F.lit("INVOICE#"), "o_orderkey").alias("PK"), "o_custkey", "o_orderstatus", "o_totalprice"
+    )
+    turn = F.split_part("PK", F.lit("#"), F.lit(2)).cast("bigint") % 5
+    store = Snapshots(spark, scratch_path(spark, "profiled"), ("PK",))
+    store.create(orders)
+    kept_profile(store).count()  # so that later profiles only read what the puts write
+    store.put(orders.filter(turn == 3).withColumn("o_orderstatus", F.lit(None).cast("string")))
+    store.put(removed=orders.filter(turn == 4))
+    now = store.read()
+    exact = now.select([F.count_distinct(c).alias(c) for c in now.columns])
+    exact = exact.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, now.columns)), F.array(*now.columns))).alias("column_name", "exact"))
+    bound = F.greatest(F.lit(1.0), F.col("exact") * (4 * 1.04 / 2 ** (LG_K / 2)))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= bound
+    return kept_profile(store).join(exact, "column_name").select("column_name", "row_count", "null_count", near.alias("within_bound"))
