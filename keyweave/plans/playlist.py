@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyweave.functions import composite_key, number, with_defaults
@@ -11,6 +11,7 @@ from keyweave.operators.union import union_entities
 from keyweave.plans.catalog import with_album
 from keyweave.plans.items import item, same
 from keyweave.plans.store import TEXT, UNKNOWN_ALBUM, UNKNOWN_ARTIST, UNKNOWN_TRACK
+from keyweave.sources.colocated import CoLocated
 
 
 def playlist_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
@@ -25,8 +26,8 @@ def playlist_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
     )
 
 
-def playlist_track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
-    """The tracks are completed with album and artist first, so the big bridge is joined only once."""
+def full_tracks(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Tracks with album and artist, and the plain tracks they are made from."""
     track = with_defaults(
         tables["Track"],
         {
@@ -44,9 +45,33 @@ def playlist_track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
         "Milliseconds",
         number("UnitPrice").alias("UnitPrice"),
     )
-    take = {f"__{c}": c for c in ("Name", "ArtistName", "AlbumTitle", "Milliseconds", "UnitPrice")}
+    return full, track
+
+
+_TAKE = {f"__{c}": c for c in ("Name", "ArtistName", "AlbumTitle", "Milliseconds", "UnitPrice")}
+
+
+def playlist_track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
+    """The tracks are completed with album and artist first, so the big bridge is joined only once."""
+    full, track = full_tracks(tables)
     bridge = tables["PlaylistTrack"].select("PlaylistId", "TrackId")
-    rows = lookup(bridge, full, "TrackId", "__track", take, "__found", rows_of=track)
+    return _bridge_items(lookup(bridge, full, "TrackId", "__track", _TAKE, "__found", rows_of=track), stamp)
+
+
+def store_bridge(spark: SparkSession, tables: dict[str, DataFrame], buckets: int | None = None, root: str | None = None) -> CoLocated:
+    """The bridge and the completed tracks, stored so that their join needs no exchange."""
+    full, _ = full_tracks(tables)
+    pair = CoLocated(spark, root)
+    pair.write(tables["PlaylistTrack"].select("PlaylistId", "TrackId"), "TrackId", full, "__track", buckets)
+    return pair
+
+
+def stored_playlist_track_items(pair: CoLocated, stamp: str) -> DataFrame:
+    """``playlist_track_items`` from a stored bridge."""
+    return _bridge_items(pair.joined(_TAKE, "__found"), stamp)
+
+
+def _bridge_items(rows: DataFrame, stamp: str) -> DataFrame:
     return item(
         rows,
         "PlaylistTrack",

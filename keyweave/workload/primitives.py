@@ -24,7 +24,7 @@ from keyweave.operators.union import union_entities
 from keyweave.plans.catalog import track_items, with_album
 from keyweave.plans.customer import customer_items, invoice_items
 from keyweave.plans.employee import employee_data
-from keyweave.plans.playlist import playlist_items, playlist_track_items
+from keyweave.plans.playlist import playlist_items, playlist_track_items, store_bridge, stored_playlist_track_items
 from keyweave.plans.store import COLLECTIONS, UNKNOWN, UNKNOWN_ARTIST
 from keyweave.session import scratch_path
 from keyweave.workload.adapter import STAMP, counts_sql, sql, store_tables
@@ -193,6 +193,18 @@ def bridge_enrich(spark, sf_dir):
     )
 
 
+@query(
+    "stored_bridge",
+    sql("SELECT PK, SK, PlaylistId, TrackId, TrackName, ArtistName, AlbumTitle, UnitPrice FROM i_playlisttrack"),
+)
+def stored_bridge(spark, sf_dir):
+    """The same from a bridge that is stored beside its tracks: the join reads bucket by bucket."""
+    pair = store_bridge(spark, store_tables(spark, sf_dir))
+    return stored_playlist_track_items(pair, STAMP).select(
+        "PK", "SK", "PlaylistId", "TrackId", "TrackName", "ArtistName", "AlbumTitle", "UnitPrice"
+    )
+
+
 @query(
     "full_name",
     """SELECT c_custkey AS CustomerId,
