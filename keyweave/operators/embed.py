@@ -33,13 +33,26 @@ def embed(
     count: str,
     page: str = "__page",
     page_size: int = PAGE_SIZE,
+    lists: bool = True,
 ) -> DataFrame:
     """Add the list ``into`` (sorted by its fields in turn), the child ``count`` and the ``page``.
 
+    Without ``lists`` the rows are the same but for the list: the children are only counted, so nothing but their
+    link is read.
+
     ``key`` is unique in ``parents``. Childless parents get an empty list and 0; children without a
     parent vanish. There is one row per parent and page, so one row per parent unless it has more
     than ``page_size`` children.
     """
+    if not lists:
+        sizes = children.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias(count))
+        pages = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / page_size)))
+        zero = F.lit(0).cast("bigint")
+        return (
+            parents.join(sizes.withColumn(page, pages), F.col(key) == F.col("__fk"), "left")
+            .drop("__fk")
+            .withColumns({count: F.coalesce(count, zero), page: F.coalesce(page, zero)})
+        )
     lines = children.filter(F.col(fk).isNotNull()).select(
         F.col(fk).alias("__fk"), F.struct(*[c.alias(n) for n, c in fields.items()]).alias("__child")
     )

@@ -1,8 +1,7 @@
 """Check whole collections against their specification and their sources.
 
-Every item is checked, in one pass per collection: an item turns into the list of its faults, and
-the faults are counted. Only combinations of check and message leave the map side, so the result
-is bounded by the rules and not by the number of bad items.
+Every item is checked, in one pass per collection, and counted by its combination of faults. Only these
+combinations leave the map side, so the result is bounded by the rules and not by the number of bad items.
 """
 
 from __future__ import annotations
@@ -53,23 +52,31 @@ def entity_faults(items: DataFrame, spec: CollectionSpec) -> list[Column]:
     """Absent attributes that the item's entity type needs."""
     faults = []
     for entity, names in spec.required.items():
-        missing = F.array_compact(F.array(*[F.when(_absent(items, n), F.lit(n)) for n in names]))
-        faults.append(
-            _fault(
-                "entity_required",
-                (F.col("EntityType") == entity) & (F.size(missing) > 0),
-                F.concat(F.lit(f"{entity} without "), F.array_join(missing, ", ")),
-            )
-        )
+        absent = [_absent(items, n) for n in names]
+        missing = F.concat_ws(", ", *[F.when(a, F.lit(n)) for a, n in zip(absent, names)])
+        # The message is only made for an item that lacks something.
+        lacks = (F.col("EntityType") == entity) & reduce(lambda a, b: a | b, absent)
+        faults.append(_fault("entity_required", lacks, F.concat(F.lit(f"{entity} without "), missing)))
     return faults
 
 
 def faults(items: DataFrame, spec: CollectionSpec, columns: list[Column]) -> DataFrame:
-    """Counted faults with one example key each."""
+    """Counted faults with one example key each.
+
+    Items are counted by their combination of faults, in one aggregation that makes no list for an item; the
+    few combinations are taken apart afterwards.
+    """
+    names = [f"__fault{n}" for n in range(len(columns))]
+    example = F.col(spec.partition) if spec.partition in items.columns else F.lit(None).cast("string")
+    combined = (
+        items.select(example.alias("__example"), *[c.alias(n) for c, n in zip(columns, names)])
+        .groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("items"), F.min("__example").alias("example"))
+    )
     return (
-        items.select(spec.partition, F.explode(F.array_compact(F.array(*columns))).alias("fault"))
+        combined.select("items", "example", F.explode(F.array_compact(F.array(*names))).alias("fault"))
         .groupBy(F.col("fault.check").alias("check"), F.col("fault.message").alias("message"))
-        .agg(F.count(F.lit(1)).alias("items"), F.min(spec.partition).alias("example"))
+        .agg(F.sum("items").alias("items"), F.min("example").alias("example"))
         .select(F.lit(spec.name).alias("collection"), "check", "message", "items", "example")
     )
 

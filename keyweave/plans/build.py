@@ -20,14 +20,19 @@ BUILDERS = {
 }
 
 
-def build(names: Iterable[str], tables: dict[str, DataFrame], stamp: str | None = None) -> dict[str, DataFrame]:
+def build(
+    names: Iterable[str], tables: dict[str, DataFrame], stamp: str | None = None, lists: bool = True
+) -> dict[str, DataFrame]:
+    """Collections by name. Without ``lists`` embedded children are counted and left out, which is all that keys,
+    counts, orders and checks of attributes need."""
     names = list(names)
     unknown = sorted(set(names) - set(BUILDERS))
     if unknown:
         raise ValueError(f"Unknown collections: {', '.join(unknown)}")
     stamp = stamp or now_stamp()
-    return {name: BUILDERS[name](tables, stamp) for name in names}
+    more = {} if lists else {"customer_data": {"lists": False}}
+    return {name: BUILDERS[name](tables, stamp, **more.get(name, {})) for name in names}
 
 
-def build_all(tables: dict[str, DataFrame], stamp: str | None = None) -> dict[str, DataFrame]:
-    return build(BUILDERS, tables, stamp)
+def build_all(tables: dict[str, DataFrame], stamp: str | None = None, lists: bool = True) -> dict[str, DataFrame]:
+    return build(BUILDERS, tables, stamp, lists)

@@ -49,11 +49,12 @@ def with_person(rows: DataFrame, tables: dict[str, DataFrame], link: str, into:
     return found.withColumn(into, F.coalesce(into, F.lit(""))).drop("__person_found")
 
 
-def invoice_items(tables: dict[str, DataFrame], stamp: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One item per invoice with all its lines.
+def invoice_items(tables: dict[str, DataFrame], stamp: str, page_size: int = PAGE_SIZE, lists: bool = True) -> DataFrame:
+    """One item per invoice with all its lines. Without ``lists`` the items are the same but for their lines.
 
     Only an invoice of more than ``page_size`` lines has further items (``InvoicePage``) that hold
-    the rest of the lines under sort keys right behind the invoice's own.
+    the rest of the lines under sort keys right behind the invoice's own. What belongs to the invoice as
+    a whole (total, billing address) stands in its first item only, so sums over all items are right.
     """
     invoice = with_defaults(
         tables["Invoice"], {**dict.fromkeys(("InvoiceDate", *BILLING), TEXT), "Total": ("double", 0.0)}
@@ -74,6 +75,7 @@ def invoice_items(tables: dict[str, DataFrame], stamp: str, page_size: int = PAG
         into="InvoiceLines",
         count="LineCount",
         page_size=page_size,
+        lists=lists,
     )
     further = F.col("__page") > 0
     page_key = F.concat(F.lit("#PAGE#"), F.lpad(F.col("__page").cast("string"), 12, "0"))
@@ -83,9 +85,10 @@ def invoice_items(tables: dict[str, DataFrame], stamp: str, page_size: int = PAG
         composite_key("CUSTOMER", "CustomerId"),
         F.concat(composite_key("INVOICE", "InvoiceId"), F.when(further, page_key).otherwise(F.lit(""))),
         {
-            **same("InvoiceId", "CustomerId", "InvoiceDate", *BILLING),
-            "Total": number("Total"),
-            **same("InvoiceLines", "LineCount"),
+            **same("InvoiceId", "CustomerId", "InvoiceDate"),
+            **{c: F.when(~further, F.col(c)) for c in BILLING},
+            "Total": F.when(~further, number("Total")),
+            **same(*(["InvoiceLines"] if lists else []), "LineCount"),
             "Page": F.when(further, F.col("__page")),
         },
         stamp,
@@ -95,5 +98,5 @@ def invoice_items(tables: dict[str, DataFrame], stamp: str, page_size: int = PAG
     )
 
 
-def customer_data(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
-    return union_entities([customer_items(tables, stamp), invoice_items(tables, stamp)])
+def customer_data(tables: dict[str, DataFrame], stamp: str, lists: bool = True) -> DataFrame:
+    return union_entities([customer_items(tables, stamp), invoice_items(tables, stamp, lists=lists)])

@@ -172,13 +172,13 @@ _ALL_KEYS = " UNION ALL ".join(
 
 @query("scan_limit", sql("SELECT PK, SK, EntityType FROM k ORDER BY PK, SK LIMIT 100", k=_ALL_KEYS))
 def scan_limit(spark, sf_dir):
-    items = [df.select("PK", "SK", "EntityType") for df in build_all(store_tables(spark, sf_dir), STAMP).values()]
+    items = [df.select("PK", "SK", "EntityType") for df in build_all(store_tables(spark, sf_dir), STAMP, lists=False).values()]
     return access.scan(reduce(lambda a, b: a.unionByName(b), items), limit=100)
 
 
 @query("item_counts", sql("SELECT EntityType, count(*) AS item_count FROM k GROUP BY EntityType", k=_ALL_KEYS))
 def item_counts(spark, sf_dir):
-    items = [access.count_by_entity(df) for df in build_all(store_tables(spark, sf_dir), STAMP).values()]
+    items = [access.count_by_entity(df) for df in build_all(store_tables(spark, sf_dir), STAMP, lists=False).values()]
     return reduce(lambda a, b: a.unionByName(b), items)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from keyweave.operators import reconcile
@@ -11,6 +13,13 @@ from keyweave.plans.store import COLLECTIONS
 from keyweave.workload.adapter import STAMP, TABLE_VIEWS, sql, store_tables
 from keyweave.workload.registry import query
 
+_ITEM_VIEWS = {
+    "music_catalog": ("i_artist", "i_album", "i_track"),
+    "customer_data": ("i_customer", "i_invoice"),
+    "playlist_data": ("i_playlist", "i_playlisttrack"),
+    "employee_data": ("i_employee",),
+}
+
 # Faults put into the customer profiles, the same in Spark and in the check.
 _DAMAGE = {
     "PK": "CASE WHEN CustomerId % 13 = 0 THEN NULL WHEN CustomerId % 17 = 1 THEN 'X#' || PK ELSE PK END",
@@ -70,19 +79,80 @@ def entity_required_fields(spark, sf_dir):
     return reconcile.faults(items, _SPEC, reconcile.entity_faults(items, _SPEC))
 
 
+# The same checks over every item of all four collections, with faults by the items' own numbers.
+_NUMBERS = {
+    "Artist": "ArtistId", "Album": "AlbumId", "Track": "TrackId", "CustomerProfile": "CustomerId", "Invoice": "InvoiceId",
+    "Playlist": "PlaylistId", "PlaylistTrack": "PlaylistId * 31 + TrackId", "EmployeeProfile": "EmployeeId",
+}
+_KEYS_AND_STAMPS = {
+    "PK": "CASE WHEN {n} % 13 = 0 THEN NULL WHEN {n} % 17 = 1 THEN 'X#' || PK ELSE PK END",
+    "SK": "CASE WHEN {n} % 19 = 2 THEN NULL ELSE SK END",
+    "EntityType": "CASE WHEN {n} % 29 = 6 THEN NULL ELSE EntityType END",
+    "CreatedAt": "CASE WHEN {n} % 7 = 3 THEN NULL ELSE 'now' END",
+    "UpdatedAt": "CASE WHEN {n} % 5 = 1 THEN NULL ELSE 'now' END",
+}
+
+
+def _lost(place):
+    """When the attribute at a place among the required ones of an entity is taken out."""
+    return f"{{n}} % {11 + 2 * place} = 4"
+
+
+def _damaged_collections(spark, sf_dir):
+    found = {}
+    for name, items in build_all(store_tables(spark, sf_dir), STAMP, lists=False).items():
+        required = COLLECTIONS[name].required
+        number = "CASE EntityType " + " ".join(f"WHEN '{e}' THEN {_NUMBERS[e]}" for e in required) + " END"
+        lost: dict[str, list[str]] = {}
+        for entity, columns in required.items():
+            for place, c in enumerate(columns):
+                lost.setdefault(c, []).append(f"EntityType = '{entity}' AND " + _lost(place).format(n="n"))
+        changes = {c: body.format(n="n") for c, body in _KEYS_AND_STAMPS.items()}
+        changes |= {c: f"CASE WHEN NOT ({' OR '.join(when)}) OR EntityType IS NULL THEN {c} END" for c, when in lost.items()}
+        found[name] = items.withColumn("n", F.expr(number)).withColumns({c: F.expr(x) for c, x in changes.items()}).drop("n")
+    return found
+
+
+def _damaged_sql():
+    """Per item: collection, damaged keys and stamps, and which required attributes of its entity are gone."""
+    views = {e: v for n, vs in _ITEM_VIEWS.items() for e, v in zip(COLLECTIONS[n].required, vs)}
+    parts = []
+    for name, spec in COLLECTIONS.items():
+        known = " OR ".join(f"PK LIKE '{p}%'" for p in spec.key_prefixes)
+        for entity, columns in spec.required.items():
+            gone = ", ".join(f"CASE WHEN {_lost(place).format(n='n')} THEN '{c}' END" for place, c in enumerate(columns))
+            body = ", ".join(f"{x.format(n='n')} AS {c}" for c, x in _KEYS_AND_STAMPS.items())
+            inner = f"SELECT {body}, concat_ws(', ', {gone}) AS gone FROM (SELECT *, {_NUMBERS[entity]} AS n FROM {views[entity]})"
+            parts.append(f"SELECT '{name}' AS collection, '{entity}' AS entity, ({known}) AS known, * FROM ({inner})")
+    return " UNION ALL ".join(parts)
+
+
+_EVERY_FAULT = f"""SELECT collection, PK, 'key_presence' AS "check", CASE WHEN PK IS NULL THEN 'missing PK' ELSE 'missing SK' END AS message
+    FROM d WHERE PK IS NULL OR SK IS NULL
+    UNION ALL SELECT collection, PK, 'key_format', 'PK without a known prefix' FROM d WHERE PK IS NOT NULL AND SK IS NOT NULL AND NOT known
+    UNION ALL SELECT collection, PK, 'required', 'missing ' || {_FIRST} FROM d WHERE {_FIRST} IS NOT NULL
+    UNION ALL SELECT collection, PK, 'entity_required', entity || ' without ' || gone FROM d WHERE EntityType IS NOT NULL AND gone <> ''"""
+
+
+@query(
+    "collection_faults",
+    sql(
+        """SELECT collection, "check", message, count(*) AS items, min(PK) AS example FROM f GROUP BY collection, "check", message""",
+        d=_damaged_sql(),
+        f=_EVERY_FAULT,
+    ),
+)
+def collection_faults(spark, sf_dir):
+    """Key presence, key format, required and entity-specific attributes of all items of all collections."""
+    parts = [reconcile.item_faults(items, COLLECTIONS[name]) for name, items in _damaged_collections(spark, sf_dir).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("sample_items", sql("SELECT PK, SK, FirstName, Email FROM i_customer ORDER BY PK, SK LIMIT 10"))
 def sample_items(spark, sf_dir):
     return reconcile.sample(customer_items(store_tables(spark, sf_dir), STAMP), 10).select("PK", "SK", "FirstName", "Email")
 
 
-_ITEM_VIEWS = {
-    "music_catalog": ("i_artist", "i_album", "i_track"),
-    "customer_data": ("i_customer", "i_invoice"),
-    "playlist_data": ("i_playlist", "i_playlisttrack"),
-    "employee_data": ("i_employee",),
-}
-
-
 def _total(views):
     return " + ".join(f"(SELECT count(*) FROM {v})" for v in views)
 
@@ -105,13 +175,13 @@ _RULE = """CASE WHEN source_count = 0 THEN target_count = 0 WHEN collection = 'e
 )
 def reconcile_counts(spark, sf_dir):
     tables = store_tables(spark, sf_dir)
-    return reconcile.reconcile_counts(COLLECTIONS, tables, build_all(tables, STAMP))
+    return reconcile.reconcile_counts(COLLECTIONS, tables, build_all(tables, STAMP, lists=False))
 
 
 def _verdicts(spark, sf_dir):
     """All collections, with faults in the customer profiles, one that does not exist, one unknown."""
     tables = store_tables(spark, sf_dir)
-    collections: dict = build_all(tables, STAMP)
+    collections: dict = build_all(tables, STAMP, lists=False)
     customers = collections["customer_data"]
     profiles = damaged(customers.filter("EntityType = 'CustomerProfile'"))
     collections["customer_data"] = profiles.unionByName(customers.filter("EntityType = 'Invoice'"))

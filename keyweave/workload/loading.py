@@ -37,7 +37,7 @@ _CUSTOMER_KEYS = "SELECT PK, SK FROM i_customer UNION ALL SELECT PK, SK FROM i_i
     sql("SELECT PK, SK, CAST((row_number() OVER (ORDER BY PK, SK) - 1) // 25 AS BIGINT) AS batch FROM k", k=_CUSTOMER_KEYS),
 )
 def batch_assignment(spark, sf_dir):
-    items = customer_data(store_tables(spark, sf_dir), STAMP).select("PK", "SK")
+    items = customer_data(store_tables(spark, sf_dir), STAMP, lists=False).select("PK", "SK")
     return batches(items, ["PK", "SK"], size=25)
 
 
@@ -278,7 +278,7 @@ def resume_remaining(spark, sf_dir):
 
 @query("resume_offset", sql("SELECT PK, SK FROM k ORDER BY PK, SK OFFSET 1000", k=_CUSTOMER_KEYS))
 def resume_offset(spark, sf_dir):
-    items = customer_data(store_tables(spark, sf_dir), STAMP).select("PK", "SK")
+    items = customer_data(store_tables(spark, sf_dir), STAMP, lists=False).select("PK", "SK")
     return resume_after(items, ["PK", "SK"], 1000)
 
 
