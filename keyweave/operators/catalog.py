@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyweave.operators.hierarchy import layers
-from keyweave.operators.joins import related_rows
+from keyweave.operators.joins import keyed_join
 from keyweave.specs import TableSpec
 
 Tables = dict[str, DataFrame]
@@ -100,9 +100,8 @@ def table_counts(tables: Tables) -> DataFrame:
 def catalog_counts(tables: Tables, total: str = "TOTAL") -> DataFrame:
     """Rows per table and a grand-total row."""
     counts = table_counts(tables)
-    return counts.rollup("table_name").agg(F.sum("record_count").alias("record_count")).select(
-        F.coalesce("table_name", F.lit(total)).alias("table_name"), "record_count"
-    )
+    totals = counts.rollup("table_name").agg(F.sum("record_count").alias("record_count"), F.grouping("table_name").alias("whole"))
+    return totals.select(F.when(F.col("whole") == 1, total).otherwise(F.col("table_name")).alias("table_name"), "record_count")
 
 
 def source_statistics(tables: Tables, specs: Specs) -> DataFrame:
@@ -225,37 +224,59 @@ def relationships(tables: Tables, specs: Specs) -> DataFrame:
     )
 
 
+def _links_to(spec: TableSpec, table: str, key: tuple[str, ...]) -> list[list[str]]:
+    """Links of a table to another, each as its columns in the order of that one's key.
+
+    A link to a composite key is one declared foreign key per key column; of several such links the first
+    declarations of all columns belong together, then the second ones.
+    """
+    of = [[fk.column for fk in spec.foreign_keys if fk.table == table and fk.ref_column == c] for c in key]
+    return [list(link) for link in zip(*of)]
+
+
 def related_data(tables: Tables, specs: Specs, table: str, keys: DataFrame) -> Tables:
     """Child rows of the given parent keys for every table with a foreign key to ``table``.
 
-    ``keys`` has the first primary-key column. A table without a primary key has no related rows;
-    links of a table to itself are skipped.
+    ``keys`` has all primary-key columns; a child matches by all of them. A table without a primary key has no
+    related rows; links of a table to itself are skipped.
     """
     if table not in tables:
         raise ValueError(f"Table {table} is not in the catalogue")
-    if not specs[table].primary_key:
+    key = specs[table].primary_key
+    if not key:
         return {}
-    key = specs[table].primary_key[0]
+    wanted = keys.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]))
+    wanted = wanted.select((F.struct(*key) if len(key) > 1 else F.col(key[0])).alias("__wanted")).distinct()
     found: Tables = {}
     for name, df in tables.items():
-        links = [] if name == table else [
-            fk for fk in specs[name].foreign_keys if fk.table == table and fk.ref_column == key
-        ]
+        links = [] if name == table else _links_to(specs[name], table, key)
         if links:
             # A row counts once, by the first of its links that leads to one of the keys.
             rest, parts = df, []
-            for i, fk in enumerate(links):
+            for i, link in enumerate(links):
                 if i:
-                    before = keys.select(F.col(key).alias("__seen"))
-                    rest = rest.join(before, rest[links[i - 1].column] == F.col("__seen"), "left_anti")
-                parts.append(related_rows(rest, fk.column, keys, key))
+                    rest = keyed_join(rest, wanted, _link_key(links[i - 1], key), "__wanted", "left_anti")
+                parts.append(keyed_join(rest, wanted, _link_key(link, key), "__wanted", "left_semi"))
             found[name] = reduce(DataFrame.unionByName, parts)
     return found
 
 
+def _link_key(link: list[str], key: tuple[str, ...]) -> Column:
+    """The linked key of a row; NULL if a part of it is."""
+    if len(link) == 1:
+        return F.col(link[0])
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in link])
+    return F.when(whole, F.struct(*[F.col(c).alias(k) for c, k in zip(link, key)]))
+
+
 def related_data_present(tables: Tables, specs: Specs, table: str, keys: DataFrame) -> Tables:
-    """``related_data`` without the tables that have no related row (one short job per table)."""
-    return {n: df for n, df in related_data(tables, specs, table, keys).items() if not df.isEmpty()}
+    """``related_data`` without the tables that have no related row; one job looks at all of them."""
+    found = related_data(tables, specs, table, keys)
+    if not found:
+        return {}
+    first = [df.limit(1).select(F.lit(n).alias("table_name")) for n, df in found.items()]
+    present = {r["table_name"] for r in _union(first).collect()}  # one row per table
+    return {n: df for n, df in found.items() if n in present}
 
 
 def schema_analysis(spark: SparkSession, tables: Tables, specs: Specs) -> DataFrame:

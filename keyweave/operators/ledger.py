@@ -50,9 +50,9 @@ def initial_events(counts: DataFrame, run_id: str, at: Column) -> DataFrame:
 def ledger_start(counts: DataFrame) -> DataFrame:
     """State right after initialisation: every table not started, plus the totals of the run."""
     return counts.rollup("table_name").agg(
-        F.sum("record_count").alias("total"), F.count(F.lit(1)).alias("tables")
+        F.sum("record_count").alias("total"), F.count(F.lit(1)).alias("tables"), F.grouping("table_name").alias("whole")
     ).select(
-        F.coalesce("table_name", F.lit("RUN")).alias("table_name"),
+        F.when(F.col("whole") == 1, "RUN").otherwise(F.col("table_name")).alias("table_name"),
         F.lit("not_started").alias("status"),
         "total",
         _zero().alias("migrated"),

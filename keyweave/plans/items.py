@@ -22,12 +22,12 @@ def item(
     index1: tuple[Column, Column] | None = None,
     index2: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Project ``df`` to items. One stamp serves the whole run. Empty index keys become absent."""
+    """Project ``df`` to items. One stamp serves the whole run. An empty index key is absent, and its sort key with it."""
     columns = [pk.alias("PK"), sk.alias("SK"), F.lit(entity).alias("EntityType")]
     columns += [value.alias(name) for name, value in attributes.items()]
     for name, keys in (("GSI1", index1), ("GSI2", index2)):
         if keys is not None:
-            columns += [F.when(keys[0] != "", keys[0]).alias(f"{name}PK"), keys[1].alias(f"{name}SK")]
+            columns += [F.when(keys[0] != "", k).alias(f"{name}{part}") for part, k in zip(("PK", "SK"), keys)]
     columns += [F.lit(stamp).alias("CreatedAt"), F.lit(stamp).alias("UpdatedAt")]
     return df.select(*columns)
 

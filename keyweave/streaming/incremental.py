@@ -7,15 +7,19 @@ its own data; ``compact`` folds the deltas together from time to time.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from keyweave.operators.joins import comparable_columns
 from keyweave.operators.upsert import KEYS, latest
+from keyweave.sources.files import Files
 
 
 class DeltaLog:
@@ -35,39 +39,53 @@ class DeltaLog:
         order = [*self.version, *[c for c in comparable_columns(df) if c not in {*self.keys, *self.version, "batch"}]]
         return latest(df, ["batch", *order] if "batch" in df.columns else order, self.keys)
 
-    def _part(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-
-    def _base(self) -> tuple[DataFrame | None, int]:
-        """The fold and the last batch in it (-1 without one)."""
-        base = self._part("base")
-        upto = -1 if base is None else base.agg(F.max("upto")).first()[0]
-        return (None, -1) if upto is None or base is None else (base.filter(F.col("upto") == upto), upto)
+    def _folders(self, below: str, prefix: str) -> list[int]:
+        return sorted(int(n.removeprefix(prefix)) for n in Files(self.spark, self.path).names(below) if n.startswith(prefix))
+
+    def _part(self, folders: list[str]) -> DataFrame | None:
+        """Folders in the schema that all their writes together have. It is noted with each write, so no footer is read for it."""
+        if not folders:
+            return None
+        notes = Files(self.spark, f"{self.path}/schemas")
+        schema = T.StructType()
+        for name in notes.names():
+            known = set(schema.names)
+            schema = T.StructType([*schema, *[f for f in T.StructType.fromJson(notes.read_json(name)) if f.name not in known]])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _write(self, items: DataFrame, folder: str) -> None:
+        note = items.schema.jsonValue()
+        digest = hashlib.sha256(json.dumps(note).encode()).hexdigest()[:16]
+        Files(self.spark, f"{self.path}/schemas").write_json_once(digest, note)
+        items.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
+    def upto(self) -> int:
+        """The last batch that the base holds; -1 without a base."""
+        return max(self._folders("base", "upto="), default=-1)
 
     def append(self, items: DataFrame, batch: int) -> bool:
         """Write one batch, reduced to one item per key; writing it again replaces it.
 
         False if the batch is part of the base already, so nothing was written.
         """
-        if batch <= self._base()[1]:
+        if batch <= self.upto():
             return False
-        self._latest(items).write.mode("overwrite").parquet(f"{self.path}/writes/batch={batch}")
+        self._write(self._latest(items), f"writes/batch={batch}")
         return True
 
     def all_writes(self) -> DataFrame:
         """The base (as one batch) and every batch after it."""
-        base, upto = self._base()
-        writes = self._part("writes")
-        parts = [base.withColumnRenamed("upto", "batch")] if base is not None else []
-        parts += [writes.filter(F.col("batch") > upto)] if writes is not None else []
+        upto = self.upto()
+        parts = []
+        base = self._part([f"base/upto={upto}"] if upto >= 0 else [])
+        if base is not None:
+            parts.append(base.withColumn("batch", F.lit(upto)))
+        for batch in self._folders("writes", "batch="):
+            if batch > upto:
+                parts.append(self._part([f"writes/batch={batch}"]).withColumn("batch", F.lit(batch)))
         if not parts:
             raise ValueError(f"no batch has been written to {self.path}")
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        return reduce(DataFrame.unionByName, parts)
 
     def read(self) -> DataFrame:
         """The collection: the newest write of each key."""
@@ -75,9 +93,9 @@ class DeltaLog:
 
     def compact(self, target: str) -> DeltaLog:
         """Fold all batches into a base in a new folder; the old log stays untouched for its readers."""
-        newest = self.all_writes().agg(F.max("batch")).first()[0]
+        newest = max([self.upto(), *self._folders("writes", "batch=")])
         folded = DeltaLog(self.spark, target, self.version, self.keys)
-        self.read().write.parquet(f"{folded.path}/base/upto={newest}")
+        folded._write(self.read(), f"base/upto={newest}")
         return folded
 
 

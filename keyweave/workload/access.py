@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from keyweave.functions import composite_key, search_key
 from keyweave.operators import access
 from keyweave.operators.hierarchy import depths
+from keyweave.operators.joins import keyed_join
 from keyweave.operators.substring import SubstringIndex
 from keyweave.operators.subtree import pairs_below, subtree, subtree_labels, subtree_totals, write_labels
 from keyweave.plans.build import build_all
@@ -192,8 +193,11 @@ def item_counts(spark, sf_dir):
 def track_three_way_join(spark, sf_dir):
     """The normalised form that one track item replaces."""
     tables = store_tables(spark, sf_dir)
-    artist = tables["Artist"].withColumnRenamed("Name", "ArtistName")
-    joined = tables["Track"].join(tables["Album"], "AlbumId").join(artist, "ArtistId")
+    album = tables["Album"].select(F.col("AlbumId").alias("album"), "Title", "ArtistId")
+    artist = tables["Artist"].select(F.col("ArtistId").alias("artist"), F.col("Name").alias("ArtistName"))
+    # Albums and artists are unique; an album of very many tracks is spread where it is not broadcast.
+    named = keyed_join(album, artist, "ArtistId", "artist", "inner").select("album", "Title", "ArtistName")
+    joined = keyed_join(tables["Track"], named, "AlbumId", "album", "inner", rows_of=album)
     return joined.select("TrackId", "Name", "Title", "ArtistName")
 
 
@@ -209,8 +213,9 @@ def customer_history_join(spark, sf_dir):
     """Customer, invoices and lines in normalised form; lines are counted before they are joined."""
     tables = store_tables(spark, sf_dir)
     lines = tables["InvoiceLine"].groupBy("InvoiceId").agg(F.count(F.lit(1)).alias("line_count"))
-    invoices = tables["Invoice"].select("InvoiceId", "CustomerId").join(lines, "InvoiceId")
-    return invoices.join(tables["Customer"].select("CustomerId"), "CustomerId").select("CustomerId", "InvoiceId", "line_count")
+    invoices = tables["Invoice"].select("InvoiceId", "CustomerId").join(lines, "InvoiceId")  # unique on both sides
+    customers = tables["Customer"].select(F.col("CustomerId").alias("customer"))
+    return keyed_join(invoices, customers, "CustomerId", "customer", "left_semi").select("CustomerId", "InvoiceId", "line_count")
 
 
 @query(

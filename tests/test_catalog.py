@@ -3,6 +3,7 @@ import json
 import pytest
 
 from keyweave.operators import catalog
+from keyweave.operators.ledger import ledger_start
 from keyweave.plans.store import TABLES
 from keyweave.specs import ForeignKey, TableSpec
 from tests.store_data import SAMPLE, generated, hand_made
@@ -73,6 +74,31 @@ def test_related_rows_by_every_link(spark):
     assert sorted(r["id"] for r in found["Trip"].collect()) == [1, 2, 3, 5]
 
 
+def test_related_rows_by_all_columns_of_a_key(spark):
+    specs = {
+        "Pair": TableSpec("Pair", ("a", "b")),
+        "Use": TableSpec("Use", ("id",), tuple(ForeignKey(c, "Pair", r) for c, r in (("x1", "a"), ("x2", "b"), ("y1", "a"), ("y2", "b")))),
+        "Half": TableSpec("Half", ("id",), (ForeignKey("h", "Pair", "a"),)),
+    }
+    uses = [(1, 1, 2, 9, 9), (2, 1, 9, 1, 2), (3, 1, 9, 2, 2), (4, None, 2, None, None), (5, 1, 2, 1, 2), (6, 2, 1, 2, 1)]
+    tables = {
+        "Pair": spark.createDataFrame([(1, 2), (2, 2)], "a int, b int"),
+        "Use": spark.createDataFrame(uses, "id int, x1 int, x2 int, y1 int, y2 int"),
+        "Half": spark.createDataFrame([(1, 1)], "id int, h int"),
+    }
+    keys = spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "a int, b int")
+    found = catalog.related_data(tables, specs, "Pair", keys)
+    assert list(found) == ["Use"] and sorted(r["id"] for r in found["Use"].collect()) == [1, 2, 5]
+    assert list(catalog.related_data_present(tables, specs, "Pair", keys)) == ["Use"]
+    assert catalog.related_data_present(tables, specs, "Pair", keys.filter("a = 7")) == {}
+
+
+def test_totals_beside_a_table_without_a_name(spark):
+    counts = spark.createDataFrame([(None, 2), ("a", 3)], "table_name string, record_count bigint")
+    found = {(r["table_name"], r["total"], r["tables"]) for r in ledger_start(counts).collect()}
+    assert found == {(None, 2, 1), ("a", 3, 1), ("RUN", 5, 2)}
+
+
 def test_related_data(spark):
     tables = hand_made(spark)
     keys = spark.createDataFrame([(1,)], "TrackId bigint")
