@@ -3,17 +3,19 @@
 A text becomes a template: numbers, units after numbers and names (capitalised words inside a
 sentence) turn into typed placeholders, everything else into lower-case words without marks. So a question
 whose numbers and names were exchanged keeps its template. Windows of ``window`` template words are
-hashed and joined with those of the benchmark; a window needs ``LITERALS`` words that are no placeholders.
+hashed and joined with those of the benchmark; a window needs ``LITERALS`` words that are no placeholders. An item
+with few such windows (a list of numbers, many names) is asked by windows of its words as they are; one shorter than
+a window by all its words at once; one of fewer than ``LITERALS`` words is found where it is the whole text.
 
 Matches on one diagonal (place in the document less place in the item) are one occurrence. It counts
 if its slots are consistent: a value of the item stands for one value in the document throughout, and a
 name there for one name here. An item is found in a document if consistent windows make up at least
-``share`` of its own.
+``share`` of those it is asked by.
 
 Column expressions only. The benchmark's windows and the list of documents that met one are broadcast while
 they have at most BROADCAST_ROWS rows, which is checked; beyond that the joins shuffle.
 
-Defined results: null and empty texts match nothing; items shorter than a window match nothing; items
+Defined results: null and empty texts match nothing, nor do items that are; items
 that are repeated are found each under its own item_id; rows with equal doc_id and text count as one document; a
 null doc_id is reported as null; empty tables give no rows; other columns are not read.
 """
@@ -30,6 +32,8 @@ WINDOW = 8
 LITERALS = 4
 SHARE = 0.5
 BROADCAST_ROWS = 200_000
+#: What a window is made of: template words, words as they are, or all words of a text.
+TEMPLATE, RAW, WHOLE = "template", "raw", "whole"
 
 # Fixed list of units that may follow a number.
 UNITS = (
@@ -61,52 +65,137 @@ def _split(text: Column) -> Column:
     return F.split(text, rf"[{BLANK}]+", -1)
 
 
-def windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """keys and the hash of the window at each place."""
+def raw_words(plain: Column) -> Column:
+    """Lower-case words without marks, numbers and names as they are; as many words as in the template."""
+    return F.lower(F.regexp_replace(plain, MARKS, ""))
+
+
+def _hashes(words: Column, kind: str, size: int) -> Column:
+    """Hash of the window of ``size`` words at each place; none if there are fewer words."""
+    found = F.transform(
+        F.sequence(F.lit(1), F.size(words) - size + 1),
+        lambda i: F.xxhash64(F.lit(kind), F.lit(size), *[F.get(words, i - 1 + j) for j in range(size)]),
+    )
+    return F.when(F.size(words) >= size, found)
+
+
+def _whole(words: Column) -> Column:
+    """The hash of all words, as a window at place 0; blanks at the ends of a text make no words."""
+    return F.array(F.xxhash64(F.lit(WHOLE), F.filter(words, lambda w: w != F.xxhash64(F.lit("")))))
+
+
+def _placed(hashes: Column) -> Column:
+    nothing = F.array().cast("array<struct<place:int,h:bigint>>")
+    return F.coalesce(F.transform(hashes, lambda h, i: F.struct(i.alias("place"), h.alias("h"))), nothing)
+
+
+def windows(df: DataFrame, keys: list[str], asked: list[tuple[str, int]]) -> DataFrame:
+    """keys and ``found`` (array of place, h): the windows of every kind and size that is asked."""
     plain = df.select(*keys, words(F.col("text")).alias("plain"))
-    arrays = plain.select(*keys, F.transform(_split(template(F.col("plain"))), lambda w: F.xxhash64(w)).alias("h"))
-    hashes = F.transform(
-        F.sequence(F.lit(1), F.size("h") - window + 1), lambda i: F.xxhash64(*[F.get("h", i - 1 + j) for j in range(window)])
+    hashed = lambda text: F.transform(_split(text), lambda w: F.xxhash64(w))
+    needed = {kind for kind, _ in asked}
+    arrays = plain.select(
+        *keys,
+        *([hashed(template(F.col("plain"))).alias("t")] if TEMPLATE in needed else []),
+        *([hashed(raw_words(F.col("plain"))).alias("r")] if needed & {RAW, WHOLE} else []),
     )
-    return arrays.select(*keys, F.when(F.size("h") >= window, hashes).alias("hashes"))
+    parts = []
+    for kind, size in asked:
+        if kind == WHOLE:
+            parts.append(_placed(_whole(F.col("r"))))
+        else:
+            parts.append(_placed(_hashes(F.col("t" if kind == TEMPLATE else "r"), kind, size)))
+    nothing = F.array().cast("array<struct<place:int,h:bigint>>")
+    return arrays.select(*keys, (F.concat(*parts) if parts else nothing).alias("found"))
 
 
 def _literals(text: Column) -> Column:
     return F.transform(_split(text), lambda w: F.when(w.rlike("[\x01-\x03]"), w).otherwise(F.lit("")))
 
 
-def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """doc_id, item_id, matched (windows), coverage (share of the item's windows) and same_values, per document and item."""
-    benchmark = items.select("item_id", F.monotonically_increasing_id().alias("row"), "text")
+def asked_windows(items: DataFrame, window: int, share: float) -> DataFrame:
+    """Stored windows of the items: item_id, row, n (windows of the item), kind, w (words), at, h, item_words, kinds.
+
+    An item is asked by windows of ``window`` words, or of all its words if it has fewer. They are windows of
+    its template, those with LITERALS words at least, if these make up ``share`` of all; else windows of its
+    raw words, without slots. An item shorter than a window is asked by both, as its one window's first word may
+    pass for a name inside a text. An item of fewer than LITERALS words is asked as a whole document.
+    ``row`` / 2 numbers the items.
+    """
     plain = words(F.col("text"))
-    kinds = benchmark.select("row", _split(plain).alias("raw"), _literals(template(plain)).alias("kinds"))
-    asked = (
-        windows(benchmark, ["item_id", "row"], window)
-        .join(kinds, "row")
-        .select("item_id", "row", "raw", "kinds", (F.size("raw") - window + 1).alias("n"), F.posexplode_outer("hashes").alias("at", "h"))
-        .select(
+    benchmark = items.select("item_id", F.monotonically_increasing_id().alias("row"), plain.alias("plain")).filter(F.trim("plain") != "")
+    # Words at the ends may be empty where a text begins or ends with a blank: they are no words.
+    benchmark = benchmark.withColumn("plain", F.regexp_replace("plain", rf"^[{BLANK}]+|[{BLANK}]+$", ""))
+    cut = stored(
+        benchmark.select(
             "item_id",
             "row",
-            "n",
-            "at",
-            "h",
-            F.slice("raw", F.col("at") + 1, window).alias("item_words"),
-            F.slice("kinds", F.col("at") + 1, window).alias("kinds"),
-        )
-        .filter(F.size(F.filter("kinds", lambda k: k == "")) >= LITERALS)
+            _split(F.col("plain")).alias("raw"),
+            _literals(template(F.col("plain"))).alias("kinds"),
+            F.transform(_split(template(F.col("plain"))), lambda w: F.xxhash64(w)).alias("t"),
+            F.transform(_split(raw_words(F.col("plain"))), lambda w: F.xxhash64(w)).alias("r"),
+        ),
+        "items",
+    )
+    long = F.size("raw")
+    w = F.least(F.lit(window), long)
+    literal = F.transform(
+        F.sequence(F.lit(0), long - w), lambda at: F.size(F.filter(F.slice("kinds", at + 1, w), lambda k: k == "")) >= LITERALS
+    )
+    enough = F.size(F.filter("literal", lambda x: x))
+    only = lambda *kinds: F.array(*map(F.lit, kinds))
+    of_template = F.when(long < window, only(TEMPLATE, RAW)).otherwise(only(TEMPLATE))
+    usable = (enough > 0) & (enough >= share * F.size("literal"))
+    sized = cut.select("*", w.alias("w"), literal.alias("literal")).select(
+        "*", F.explode(F.when(long < LITERALS, only(WHOLE)).when(usable, of_template).otherwise(only(RAW))).alias("kind")
+    )
+
+    def of(kind: str) -> Column:
+        by_size = F.lit(None).cast("array<bigint>")
+        for size in range(1, window + 1):
+            by_size = F.when(F.col("w") == size, _hashes(F.col("t" if kind == TEMPLATE else "r"), kind, size)).otherwise(by_size)
+        return by_size
+
+    hashes = F.when(F.col("kind") == TEMPLATE, of(TEMPLATE)).when(F.col("kind") == RAW, of(RAW)).otherwise(_whole(F.col("r")))
+    in_template = F.col("kind") == TEMPLATE
+    found = sized.select(
+        "item_id",
+        (F.col("row") * 2 + (F.col("kind") == RAW).cast("int")).alias("row"),
+        "kind",
+        F.when(F.col("kind") == WHOLE, long).otherwise(F.col("w")).alias("w"),
+        F.when(in_template, enough).otherwise(F.when(F.col("kind") == WHOLE, 1).otherwise(F.size("literal"))).alias("n"),
+        "raw",
+        F.when(in_template, F.col("kinds")).otherwise(F.transform("kinds", lambda _: F.lit(""))).alias("kinds"),
+        "literal",
+        F.posexplode(hashes).alias("at", "h"),
+    ).filter(~in_template | F.get("literal", "at"))
+    return stored(
+        found.select(
+            "item_id", "row", "kind", "n", "w", "at", "h",
+            F.slice("raw", F.col("at") + 1, F.col("w")).alias("item_words"),
+            F.slice("kinds", F.col("at") + 1, F.col("w")).alias("kinds"),
+        ),
+        "asked",
     )
-    asked = stored(asked, "asked")  # row numbers must not change from here on
+
+
+def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+    """doc_id, item_id, matched (windows), coverage (share of the item's windows) and same_values, per document and item."""
+    asked = asked_windows(items, window, share)
+    # Kinds and sizes of windows: two a size at most, and whole documents.
+    sizes = asked.select("kind", F.when(F.col("kind") != WHOLE, F.col("w")).otherwise(0)).distinct().collect()
     texts = docs.select("doc_id", "text").withColumn("key", F.xxhash64("text"))
     # The outer form: for the inner one Spark would filter on the size first and compute the windows twice.
-    there = windows(texts, ["doc_id", "key"], window).select("doc_id", "key", F.posexplode_outer("hashes").alias("place", "h"))
-    met = stored(there.join(_small(asked.select("item_id", "row", "n", "at", "h")), "h").drop("h"), "met")
+    there = windows(texts, ["doc_id", "key"], sorted(map(tuple, sizes))).select("doc_id", "key", F.explode_outer("found").alias("x"))
+    there = there.select("doc_id", "key", "x.place", "x.h")
+    met = stored(there.join(_small(asked.select("item_id", "row", "n", "w", "at", "h")), "h").drop("h"), "met")
     # The words of the documents that were met, to read the values in the slots.
     places = met.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
-        F.collect_list(F.struct("item_id", "row", "n", "at", "place")).alias("places")
+        F.collect_list(F.struct("item_id", "row", "n", "w", "at", "place")).alias("places")
     )
     same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k"))
     cut = F.transform(
-        "places", lambda x: F.struct(*[x[c].alias(c) for c in ("item_id", "row", "n", "at", "place")], F.slice("raw", x["place"] + 1, window).alias("doc_words"))
+        "places", lambda x: F.struct(*[x[c].alias(c) for c in ("item_id", "row", "n", "at", "place")], F.slice("raw", x["place"] + 1, x["w"]).alias("doc_words"))
     )
     wanted = _small(met.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct())
     # Stored, so that a text is split once and not for each of its windows.
@@ -152,18 +241,16 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
         *[found[c] for c in occurrence], "matched", slots["pairs"], "items", "name_pairs", "names", "same"
     )
     consistent = judged.filter(F.col("pairs").isNull() | ((F.col("pairs") == F.col("items")) & (F.col("name_pairs") == F.col("names"))))
-    return (
+    found = (
         consistent.groupBy("doc_id", "key", "item_id", "row", "n")
         .agg(F.max("matched").alias("matched"), F.sum("matched").alias("all"), F.max_by(F.coalesce("same", F.lit(1)), "matched").alias("same"))
         .filter(F.col("all") >= share * F.col("n"))
-        .select(
-            "doc_id",
-            "item_id",
-            F.least("all", "n").cast("long").alias("matched"),
-            F.least(F.lit(1.0), F.col("all") / F.col("n")).alias("coverage"),
-            (F.col("same") == 1).alias("same_values"),
-        )
     )
+    # A short item may be found in both of its ways.
+    best = found.groupBy("doc_id", "key", "item_id", F.floor(F.col("row") / 2)).agg(
+        F.max(F.least("all", "n")).alias("matched"), F.max(F.least(F.lit(1.0), F.col("all") / F.col("n"))).alias("coverage"), F.max("same").alias("same")
+    )
+    return best.select("doc_id", "item_id", F.col("matched").cast("long").alias("matched"), "coverage", (F.col("same") == 1).alias("same_values"))
 
 
 def _small(df: DataFrame) -> DataFrame:
