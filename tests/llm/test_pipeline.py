@@ -39,10 +39,10 @@ def expected(spark):
         z = float(np.dot([1, *matcher.features(text)], model.beta))
         if 1 / (1 + math.exp(-z)) >= 0.5:
             del docs[d]
-    # Lines: classes by distance 1, the first of each stays.
-    places = [(d, i, x) for d in sorted(docs) for i, x in enumerate(docs[d].split("\n")) if len(x) >= 20]
-    names = sorted({x for _, _, x in places}, key=len)
-    parent = {x: x for x in names}
+    # Lines: classes by distance 1 from 20 characters on, shorter ones if they are equal; the first of each stays.
+    places = [(d, i, x) for d in sorted(docs) for i, x in enumerate(docs[d].split("\n")) if x.strip(" \t\n\v\f\r")]
+    parent = {x: x for _, _, x in places}
+    names = sorted((x for x in parent if len(x) >= 20), key=len)
 
     def root(x):
         while parent[x] != x:
@@ -68,7 +68,7 @@ def expected(spark):
         if not kept:
             del docs[d]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    for d, _, _ in leaks(sorted(docs.items()), items):
+    for d, _ in leaks(sorted(docs.items()), items):
         docs.pop(d, None)
     return docs
 
