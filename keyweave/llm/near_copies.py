@@ -5,12 +5,12 @@ the whole sequence if it is shorter). Its sketch is the ``k`` smallest of them.
 
 1. Documents with equal sets form one node, so copies cost one row each from here on.
 2. Inverted lists of retained values give candidates. Two sketches at the threshold share at least
-   0.8 k values less the sampling error (5.5 standard deviations; sets up to k are held whole, so this is exact there), so a
+   0.8 k values less the sampling error (DEVIATIONS standard deviations; sets up to k are held whole, so this is exact there), so a
    node need only be listed under its rarest values: so many that two nodes with that overlap must
    meet in one. Values of one node only count first among them.
 3. A list of up to LIST nodes yields its pairs. In a longer one every node is paired with the list's
    pivot only (its smallest document).
-4. The sketch of the union estimates the similarity; pairs far below the threshold fall out. Full
+4. The sketch of the union estimates the similarity; pairs as many deviations below the threshold fall out. Full
    sets confirm the rest: first each node's best partner, then only what is not connected yet.
 5. Around a pivot exact distances d are known, and 1 - Jaccard is a metric. Nodes that are not linked to
    the pivot can be linked to a node only if their d differ by no more than the threshold's distance.
@@ -42,6 +42,8 @@ from keyweave.llm.registry import query
 LIST = 32
 BLOCK = 128
 NULL_ID = -(2**63)
+#: Standard deviations of sampling error that lists and the union's estimate allow for: 4e-8 for a pair at the threshold.
+DEVIATIONS = 5.5
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -127,7 +129,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, k: int = 6
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("df", "v", "pivot"))).alias("shared"))
     )
-    cap = int(threshold * k - 5.5 * math.sqrt(threshold * (1 - threshold) * k))
+    cap = int(threshold * k - DEVIATIONS * math.sqrt(threshold * (1 - threshold) * k))
     least = F.greatest(F.lit(1), F.least(F.ceil(F.col("n") * percent / 100 - 1e-9), F.lit(cap)))
     held = F.size("sketch")
     prefix = F.greatest(F.lit(0), held - least + 1 - (held - F.size("shared")))
@@ -148,7 +150,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, k: int = 6
     of = nodes.select("node", "sketch")
     union = F.slice(F.array_sort(F.array_union("x", "y")), 1, k)
     in_both = F.size(F.array_intersect(F.array_intersect(union, F.col("x")), F.col("y")))
-    margin = threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / k)
+    margin = threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / k)
     guessed = stored(
         pairs.join(of.selectExpr("node AS a", "sketch AS x"), "a")
         .join(of.selectExpr("node AS b", "sketch AS y"), "b")
