@@ -53,7 +53,7 @@ DICTIONARY_BYTES = 65536
 #: A segment ends with the document that fills it.
 SEGMENT_BYTES = 4 << 20
 SEGMENT_DOCS = 8192
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 _CHUNK = re.compile("[^ \n]+")
 #: Latin letters whose lower case and normal form are plain, and end marks: the usual chunk. The
@@ -100,7 +100,8 @@ class WordEncoder:
         """Ids of lower-case letters or of end marks: one match of the pattern, so the merges apply as they are."""
         ids = self.parts.get(part)
         if ids is None:
-            spelled = part.encode().decode("latin1").translate(self.alphabet)
+            # Printable ASCII is spelled as it is.
+            spelled = part if part.isascii() else part.encode().decode("latin1").translate(self.alphabet)
             ids = self.parts[part] = array("I", [t.id for t in self.model(spelled)]).tobytes()
         return ids
 
