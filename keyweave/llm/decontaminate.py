@@ -84,13 +84,8 @@ def _whole(words: Column) -> Column:
     return F.array(F.xxhash64(F.lit(WHOLE), F.filter(words, lambda w: w != F.xxhash64(F.lit("")))))
 
 
-def _placed(hashes: Column) -> Column:
-    nothing = F.array().cast("array<struct<place:int,h:bigint>>")
-    return F.coalesce(F.transform(hashes, lambda h, i: F.struct(i.alias("place"), h.alias("h"))), nothing)
-
-
 def windows(df: DataFrame, keys: list[str], asked: list[tuple[str, int]]) -> DataFrame:
-    """keys and ``found`` (array of place, h): the windows of every kind and size that is asked."""
+    """keys, place and h: the windows of every kind and size that is asked; a row without place where there are none."""
     plain = df.select(*keys, words(F.col("text")).alias("plain"))
     hashed = lambda text: F.transform(_split(text), lambda w: F.xxhash64(w))
     needed = {kind for kind, _ in asked}
@@ -99,14 +94,16 @@ def windows(df: DataFrame, keys: list[str], asked: list[tuple[str, int]]) -> Dat
         *([hashed(template(F.col("plain"))).alias("t")] if TEMPLATE in needed else []),
         *([hashed(raw_words(F.col("plain"))).alias("r")] if needed & {RAW, WHOLE} else []),
     )
-    parts = []
-    for kind, size in asked:
-        if kind == WHOLE:
-            parts.append(_placed(_whole(F.col("r"))))
-        else:
-            parts.append(_placed(_hashes(F.col("t" if kind == TEMPLATE else "r"), kind, size)))
+    parts = [
+        _whole(F.col("r")) if kind == WHOLE else _hashes(F.col("t" if kind == TEMPLATE else "r"), kind, size)
+        for kind, size in asked
+    ] or [F.lit(None).cast("array<bigint>")]
+    # The outer form: for the inner one Spark would filter on the size first and compute the windows twice.
+    if len(parts) == 1:
+        return arrays.select(*keys, F.posexplode_outer(parts[0]).alias("place", "h"))
     nothing = F.array().cast("array<struct<place:int,h:bigint>>")
-    return arrays.select(*keys, (F.concat(*parts) if parts else nothing).alias("found"))
+    placed = [F.coalesce(F.transform(p, lambda h, i: F.struct(i.alias("place"), h.alias("h"))), nothing) for p in parts]
+    return arrays.select(*keys, F.explode_outer(F.concat(*placed)).alias("x")).select(*keys, "x.place", "x.h")
 
 
 def _literals(text: Column) -> Column:
@@ -185,9 +182,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     # Kinds and sizes of windows: two a size at most, and whole documents.
     sizes = asked.select("kind", F.when(F.col("kind") != WHOLE, F.col("w")).otherwise(0)).distinct().collect()
     texts = docs.select("doc_id", "text").withColumn("key", F.xxhash64("text"))
-    # The outer form: for the inner one Spark would filter on the size first and compute the windows twice.
-    there = windows(texts, ["doc_id", "key"], sorted(map(tuple, sizes))).select("doc_id", "key", F.explode_outer("found").alias("x"))
-    there = there.select("doc_id", "key", "x.place", "x.h")
+    there = windows(texts, ["doc_id", "key"], sorted(map(tuple, sizes)))
     met = stored(there.join(_small(asked.select("item_id", "row", "n", "w", "at", "h")), "h").drop("h"), "met")
     # The words of the documents that were met, to read the values in the slots.
     places = met.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
