@@ -5,8 +5,8 @@
 ``module:factory``. A client has ``put(table, items) -> items not taken`` and may raise
 ``Throttled``. Puts replace by key, so a batch sent again by a retried task does no harm.
 
-Each task sends its own rows as they stream by. Items left over after all retries go, one file per
-task, to the ``dead_letters`` folder; the driver receives only counts per task.
+Each task sends its own rows as they stream by. Items left over after all retries go, one file per batch,
+to the ``dead_letters`` folder; the driver receives only counts per task.
 """
 
 from __future__ import annotations

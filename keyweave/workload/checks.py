@@ -148,6 +148,27 @@ def collection_faults(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@query(
+    "audit_stamps",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS collection, EntityType, '{STAMP}' AS created, '{STAMP}' AS updated, count(*) AS items FROM {v} GROUP BY EntityType"
+            for n, views in _ITEM_VIEWS.items()
+            for v in views
+        )
+    ),
+)
+def audit_stamps(spark, sf_dir):
+    """Every item of every collection carries the stamps of its run."""
+    parts = [
+        items.groupBy("EntityType", F.col("CreatedAt").alias("created"), F.col("UpdatedAt").alias("updated"))
+        .agg(F.count(F.lit(1)).alias("items"))
+        .select(F.lit(name).alias("collection"), "EntityType", "created", "updated", "items")
+        for name, items in build_all(store_tables(spark, sf_dir), STAMP, lists=False).items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("sample_items", sql("SELECT PK, SK, FirstName, Email FROM i_customer ORDER BY PK, SK LIMIT 10"))
 def sample_items(spark, sf_dir):
     return reconcile.sample(customer_items(store_tables(spark, sf_dir), STAMP), 10).select("PK", "SK", "FirstName", "Email")

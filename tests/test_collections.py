@@ -6,6 +6,7 @@ from keyweave.operators import access
 from keyweave.operators.reconcile import transform_summary
 from keyweave.plans.build import build, build_all
 from keyweave.plans.customer import invoice_items
+from keyweave.plans.items import now_stamp
 from keyweave.plans.store import COLLECTIONS, INDEX1, INDEX2
 from tests.store_data import FULL, SAMPLE, generated, hand_made
 
@@ -202,3 +203,13 @@ def test_scan(spark):
     music = build(["music_catalog"], generated(spark, Artist=30))["music_catalog"]
     assert access.scan(music).count() == 30
     assert [r["PK"] for r in access.scan(music, limit=2).collect()] == ["ARTIST#1", "ARTIST#10"]
+
+
+def test_one_stamp_serves_a_run(spark):
+    before = now_stamp()
+    items = build_all(generated(spark, **SAMPLE))
+    stamps = {tuple(r) for df in items.values() for r in df.select("CreatedAt", "UpdatedAt").distinct().collect()}
+    assert len({x for pair in stamps for x in pair}) <= len(items) and all(a == b for a, b in stamps)
+    assert all(before <= a <= now_stamp() for a, _ in stamps)
+    given = build_all(generated(spark, **SAMPLE), "2020-02-02T00:00:00")["employee_data"]
+    assert {r["CreatedAt"] for r in given.collect()} == {"2020-02-02T00:00:00"}
