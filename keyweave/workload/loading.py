@@ -25,7 +25,7 @@ from keyweave.session import scratch_path
 from keyweave.sources.event_log import EventLog
 from keyweave.sources.sink import put_items, read_put_items
 from keyweave.sources.tables import CollectionStore
-from keyweave.streaming.incremental import DeltaLog, load_new_files
+from keyweave.streaming.incremental import DeltaLog, PutLog, load_new_files
 from keyweave.workload.adapter import STAMP, counts_sql, sql, store_tables
 from keyweave.workload.registry import query
 
@@ -350,16 +350,13 @@ def throughput(spark, sf_dir):
     )
 
 
-@query(
-    "incremental_load",
-    """SELECT 'CUSTOMER#' || o_custkey AS PK, 'INVOICE#' || o_orderkey AS SK,
-    CASE WHEN o_orderstatus = 'P' THEN o_totalprice + CAST(1 AS DOUBLE) ELSE o_totalprice END AS Total FROM orders""",
-)
-def incremental_load(spark, sf_dir):
-    """Two loads: first the open and pending orders, then the finished ones and changed pending ones."""
+_TWO_LOADS = """SELECT 'CUSTOMER#' || o_custkey AS PK, 'INVOICE#' || o_orderkey AS SK,
+    CASE WHEN o_orderstatus = 'P' THEN o_totalprice + CAST(1 AS DOUBLE) ELSE o_totalprice END AS Total FROM orders"""
+
+
+def _two_loads(spark, sf_dir, folder, log):
+    """First the open and pending orders, then the finished ones and changed pending ones."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    folder = scratch_path(spark, "incremental")
-    log = DeltaLog(spark, f"{folder}/items")
 
     def to_items(rows):
         return rows.select(
@@ -377,6 +374,20 @@ def incremental_load(spark, sf_dir):
     return log.read()
 
 
+@query("incremental_load", _TWO_LOADS)
+def incremental_load(spark, sf_dir):
+    """Two loads as deltas; readers take the newest write of each key."""
+    folder = scratch_path(spark, "incremental")
+    return _two_loads(spark, sf_dir, folder, DeltaLog(spark, f"{folder}/items"))
+
+
+@query("incremental_puts", _TWO_LOADS)
+def incremental_puts(spark, sf_dir):
+    """The same two loads put into versions of a bucketed table."""
+    folder = scratch_path(spark, "incremental")
+    return _two_loads(spark, sf_dir, folder, PutLog(spark, f"{folder}/items"))
+
+
 def _track_parts(tables):
     """Items of the music catalogue by source table."""
     return {"Artist": artist_items(tables, STAMP), "Album": album_items(tables, STAMP), "Track": track_items(tables, STAMP)}

@@ -12,7 +12,7 @@ from keyweave.plans.build import build
 from keyweave.sources import sink
 from keyweave.sources.sqlite import discover, read_sqlite, read_sqlite_store
 from keyweave.sources.tables import CollectionStore, TableSet
-from keyweave.streaming.incremental import DeltaLog, load_new_files
+from keyweave.streaming.incremental import DeltaLog, PutLog, load_new_files
 from tests.store_data import generated
 
 
@@ -162,9 +162,31 @@ def test_a_batch_repeated_after_a_fold_changes_nothing(spark, tmp_path, rows):
     assert rows(folded.read()) == [("a", "1", 1), ("b", "1", 3), ("c", "1", 4)]
 
 
-def test_incremental_load_reads_only_new_files(spark, tmp_path, rows):
-    source, checkpoint = str(tmp_path / "source"), str(tmp_path / "checkpoint")
+def test_put_log(spark, tmp_path, rows):
+    log = PutLog(spark, str(tmp_path / "log"), version=("v",), buckets=4)
+    with pytest.raises(ValueError):
+        log.read()
+    assert log.append(items(spark, ("a", "1", 5), ("b", "1", 2), ("b", "1", 1)), 0)
+    assert log.append(items(spark, ("a", "1", 3), ("a", "1", 2)), 1)
+    assert not log.append(items(spark, ("a", "1", 9)), 1) and not log.append(items(spark, ("a", "1", 9)), 0)
+    assert rows(log.read()) == [("a", "1", 3), ("b", "1", 2)] and log.upto() == 1
+    plan = log.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+
+
+def test_a_later_batch_with_another_column(spark, tmp_path, rows):
     log = DeltaLog(spark, str(tmp_path / "log"))
+    log.append(items(spark, ("a", "1", 1), ("b", "1", 2)), 0)
+    log.append(spark.createDataFrame([("b", "1", 3, "x")], "PK string, SK string, v bigint, extra string"), 1)
+    expected = [("a", "1", 1, None), ("b", "1", 3, "x")]
+    assert rows(log.read(), "PK", "SK", "v", "extra") == expected
+    assert rows(log.compact(str(tmp_path / "folded")).read(), "PK", "SK", "v", "extra") == expected
+
+
+@pytest.mark.parametrize("kind", [DeltaLog, PutLog])
+def test_incremental_load_reads_only_new_files(spark, tmp_path, rows, kind):
+    source, checkpoint = str(tmp_path / "source"), str(tmp_path / "checkpoint")
+    log = kind(spark, str(tmp_path / "log"))
     first = items(spark, ("a", "1", 1), ("b", "1", 2))
 
     def load():
