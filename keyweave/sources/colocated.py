@@ -18,18 +18,22 @@ from keyweave.sources.files import Files
 
 
 class CoLocated:
-    """One stored pair; tables of the session's catalog until ``drop``."""
+    """One stored pair."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "colocated")).rstrip("/")
-        self._name = f"colocated_{uuid.uuid4().hex}"
 
-    def _write(self, df: DataFrame, part: str, column: str, buckets: int) -> None:
+    def _write(self, df: DataFrame, part: str, column: str, buckets: int) -> DataFrame:
+        name = f"colocated_{uuid.uuid4().hex}"
         # The exchange deals rows as the buckets do, so each bucket becomes one file.
         df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column).option(
             "path", f"{self.root}/{part}"
-        ).format("parquet").saveAsTable(f"{self._name}_{part}")
+        ).format("parquet").saveAsTable(name)
+        stored = self.spark.table(name)
+        stored.isEmpty()  # resolves the files
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay: only the name goes
+        return stored
 
     def write(self, links: DataFrame, link: str, targets: DataFrame, key: str, buckets: int | None = None) -> None:
         """Store both sides; of several targets with one key the highest stays, as in every lookup."""
@@ -39,8 +43,8 @@ class CoLocated:
         hot = frequent_keys(links, F.xxhash64(link), max(HOT_SHARE, 0.25 / buckets)) if exceeds_partition(links) else []
         apart = F.col(link).isNull() | F.xxhash64(link).isin(hot)
         targets = one_row_per_key(targets.filter(F.col(key).isNotNull()), [key])
-        self._write(links.filter(~apart), "links", link, buckets)
-        self._write(targets, "targets", key, buckets)
+        self.links = self._write(links.filter(~apart), "links", link, buckets)
+        self.targets = self._write(targets, "targets", key, buckets)
         links.filter(apart).write.parquet(f"{self.root}/links_apart")
         # As many rows as there are hot links, which ``frequent_keys`` bounds.
         targets.filter(F.xxhash64(key).isin(hot)).write.parquet(f"{self.root}/targets_apart")
@@ -48,7 +52,6 @@ class CoLocated:
 
     def joined(self, take: dict[str, str | Column], matched: str) -> DataFrame:
         """All link rows with the columns ``take`` of their target, NULL without one, and the flag ``matched``."""
-        links, targets = self.spark.table(f"{self._name}_links"), self.spark.table(f"{self._name}_targets")
         links_apart = self.spark.read.schema(self.schemas[0]).parquet(f"{self.root}/links_apart")
         targets_apart = self.spark.read.schema(self.schemas[1]).parquet(f"{self.root}/targets_apart")
 
@@ -58,9 +61,8 @@ class CoLocated:
             found = left.join(side, F.col(self.link) == F.col("__key"), "left").drop("__key")
             return found.withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
 
-        return met(links, targets, False).unionByName(met(links_apart, targets_apart, True))
+        return met(self.links, self.targets, False).unionByName(met(links_apart, targets_apart, True))
 
     def drop(self) -> None:
-        for part in ("links", "targets"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name}_{part}")
+        """Remove the files."""
         Files(self.spark, self.root).remove()
