@@ -70,6 +70,7 @@ def keyed_join(
     how: str = "left",
     unique: bool = True,
     rows_of: DataFrame | None = None,
+    links_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on a key that is unique in ``right`` and not part of the result.
 
@@ -77,7 +78,9 @@ def keyed_join(
     ``unique=False`` copies of a right key are reduced to one row, in the shuffle of the join.
 
     Catalyst takes the size of a joined ``right`` to be the product of its sides. Where ``right`` has
-    no more rows than the table ``rows_of``, its size is judged by that table instead.
+    no more rows than the table ``rows_of``, its size is judged by that table instead. Where ``left`` has the
+    rows of the table ``links_in`` with columns looked up before, frequent keys are searched in that table, so
+    the earlier joins run once.
     """
     key = F.col(left_key) if isinstance(left_key, str) else left_key
     keeps_right = how in ("left", "inner")
@@ -94,7 +97,8 @@ def keyed_join(
 
     salts = max(2, shuffle_partitions(left))
     # Hashes serve keys of any type; here they only decide on which salts a key uses.
-    hot = frequent_keys(left, F.xxhash64(key)) if exceeds_partition(left) else []
+    source = left if links_in is None else links_in
+    hot = frequent_keys(source, F.xxhash64(key)) if exceeds_partition(source) else []
     spread = F.pmod(_row_hash(left), F.lit(salts)).cast("int")
     left_salt = F.when(F.col(_LEFT_KEY).isNull(), spread)
     right_salt = F.lit(0)
@@ -127,6 +131,7 @@ def lookup(
     optional: bool = False,
     unique: bool = False,
     rows_of: DataFrame | None = None,
+    links_in: DataFrame | None = None,
 ) -> DataFrame:
     """Fetch the columns ``take`` (output -> dimension column) and the flag ``matched``.
 
@@ -140,7 +145,7 @@ def lookup(
     )
     side = side.withColumn(matched, F.lit(True))
     wanted = F.when(is_linked(link), link) if optional else link
-    return keyed_join(left, side, wanted, "__id", "left", unique, rows_of).withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
+    return keyed_join(left, side, wanted, "__id", "left", unique, rows_of, links_in).withColumn(matched, F.coalesce(F.col(matched), F.lit(False)))
 
 
 def or_default(matched: str, value: Column | str, default: object) -> Column:

@@ -82,8 +82,8 @@ def track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
     genre = with_defaults(tables["Genre"], {"Name": ("string", UNKNOWN)}) if "Genre" in tables else None
     media = with_defaults(tables["MediaType"], {"Name": ("string", UNKNOWN)}) if "MediaType" in tables else None
     rows = with_album(track, tables)
-    rows = _named(rows, genre, "GenreId", "__genre", optional=True)
-    rows = _named(rows, media, "MediaTypeId", "__media", optional=False)
+    rows = _named(rows, genre, "GenreId", "__genre", True, track)
+    rows = _named(rows, media, "MediaTypeId", "__media", False, track)
     has_album = F.col("__has_album")
     attributes = {
         **same("TrackId", "Name", "Composer", "Milliseconds", "Bytes"),
@@ -112,11 +112,13 @@ def track_items(tables: dict[str, DataFrame], stamp: str) -> DataFrame:
     )
 
 
-def _named(rows: DataFrame, dimension: DataFrame | None, link: str, into: str, optional: bool) -> DataFrame:
+def _named(
+    rows: DataFrame, dimension: DataFrame | None, link: str, into: str, optional: bool, links_in: DataFrame
+) -> DataFrame:
     """Name of a small classification; a store without that table has no match at all."""
     if dimension is None:
         return rows.withColumns({into: F.lit(None).cast("string"), f"{into}_found": F.lit(False)})
-    return lookup(rows, dimension, link, link, {into: "Name"}, f"{into}_found", optional=optional)
+    return lookup(rows, dimension, link, link, {into: "Name"}, f"{into}_found", optional=optional, links_in=links_in)
 
 
 def music_catalog(tables: dict[str, DataFrame], stamp: str) -> DataFrame:

@@ -92,3 +92,18 @@ def test_related_rows(spark):
     children = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id bigint, parent bigint")
     keys = spark.createDataFrame([(10,), (10,), (None,)], "key bigint")
     assert [tuple(r) for r in related_rows(children, "parent", keys, "key").collect()] == [(1, 10)]
+
+
+def test_frequent_links_are_searched_in_the_source(spark, skewed, monkeypatch):
+    """A chain of lookups searches the table the links stand in, not the joins made before."""
+    from keyweave.operators import joins
+    from keyweave.plans.catalog import track_items
+    from tests.store_data import generated
+
+    searched = []
+    real = joins.frequent_keys
+    monkeypatch.setattr(joins, "frequent_keys", lambda df, key, *more: searched.append(df) or real(df, key, *more))
+    with skewed():
+        track_items(generated(spark, Track=50, Album=10, Artist=5, Genre=5, MediaType=5), "now")
+    plans = [df._jdf.queryExecution().analyzed().toString() for df in searched]
+    assert len(plans) >= 3 and not any("Join" in plan for plan in plans)
