@@ -222,7 +222,7 @@ class PrefixTable:
 
 def task_codec(packed: bytes, pattern: str) -> Codec:
     """One codec per worker process and rank file."""
-    key, store = ("codec", hash(packed), pattern), worker_store()
+    key, store = ("codec", hash(packed), pattern), worker_store("bpe")
     if key not in store:
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in packed.splitlines() if x.strip())}
         store[key] = Codec(ranks, pattern)

@@ -43,14 +43,19 @@ def lower_ascii(text: str) -> str:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def worker_store() -> dict:
+def worker_store(owner: str | None = None) -> dict:
     """A dictionary that lives as long as the Python worker.
 
     Functions of this package reach a worker as code, with fresh globals for every task; what is
-    costly to build is kept here instead.
+    costly to build is kept here instead. An operator with large tables names itself as ``owner``: what
+    another one has left in the worker goes then, as one stage does not need the tables of an earlier one.
     """
     module = sys.modules.setdefault("_keyweave_llm_worker", types.ModuleType("_keyweave_llm_worker"))
-    return module.__dict__.setdefault("store", {})
+    store = module.__dict__.setdefault("store", {})
+    if owner is not None and store.get("owner") != owner:
+        store.clear()
+        store["owner"] = owner
+    return store
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -49,7 +49,7 @@ _BASE = 0x9E3779B97F4A7C15
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct 63-bit hashes of a text's shingles."""
-    store = worker_store()
+    store = worker_store("near_copies")
     known = store.setdefault("words", {})
     if len(known) > 400_000:
         known.clear()
