@@ -12,6 +12,7 @@ to the ``dead_letters`` folder; the driver receives only counts per task.
 from __future__ import annotations
 
 import importlib
+import io
 import json
 import os
 import time
@@ -19,13 +20,14 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StringType, StructField, StructType
 
-from keyweave.functions.codec import decode_attribute
-from keyweave.operators.upsert import latest
+from keyweave.functions.codec import decode_items
+from keyweave.operators.upsert import KEYS, latest
 
 # Batch bound, number of retries, first waits in seconds (each retry doubles them).
 MAX_BATCH = 25
@@ -51,13 +53,25 @@ class TaskResult(WriterCommitMessage):
 
 
 class FolderClient:
-    """Client that keeps every batch as a file of JSON lines below a folder; for tests and dry runs."""
+    """Client that keeps its puts below a folder, one file for each table that it puts to; for tests and dry runs.
+
+    A line is an item, a tab (JSON text has none) and the time of its put. A batch is one unbuffered write at the
+    end of the file, so there are as many files as tasks and not as batches.
+    """
 
     def __init__(self, folder: str):
         self.folder = local_folder(folder)
+        self.files: dict[str, io.FileIO] = {}
 
     def put(self, table: str, items: list[str]) -> list[str]:
-        write_lines(os.path.join(self.folder, table), items)
+        if table not in self.files:
+            folder = os.path.join(self.folder, table)
+            os.makedirs(folder, exist_ok=True)
+            self.files[table] = open(os.path.join(folder, f"{uuid.uuid4().hex}.json"), "ab", buffering=0)
+        end = f"\t{time.time_ns()}\n"
+        lines = (end.join(items) + end).encode()
+        while lines:  # an unbuffered write may take a part only
+            lines = lines[self.files[table].write(lines):]
         return []
 
 
@@ -144,6 +158,9 @@ class BatchWriter(DataSourceWriter):
         self.options = options
 
     def write(self, iterator: Iterator[Row]) -> TaskResult:
+        return self.send(row["item"] for row in iterator)
+
+    def send(self, items: Iterator[str]) -> TaskResult:
         options = self.options
         table = options["table"]
         size = min(MAX_BATCH, int(options.get("batch_size", MAX_BATCH)))
@@ -151,7 +168,7 @@ class BatchWriter(DataSourceWriter):
         factory = {"folder": FolderClient, "dynamo": DynamoClient}.get(options.get("client", "folder"))
         client = factory(options.get("client_argument", "")) if factory else make_client(options)
         result = TaskResult(0, 0, 0, 0)
-        for batch in chunks((row["item"] for row in iterator), size):
+        for batch in chunks(items, size):
             left, tried = put_batch(client.put, table, batch, retries)
             # What a batch could not place gets one more chance item by item.
             left = [i for one in left for i in put_batch(client.put, table, [one], retries)[0]]
@@ -170,13 +187,20 @@ class BatchWriter(DataSourceWriter):
             write_lines(local_folder(self.options["summary"]), [json.dumps({"collection": self.options["table"], **totals})])
 
 
+class ArrowBatchWriter(DataSourceArrowWriter, BatchWriter):
+    """Takes the items out of record batches, without a row object for each."""
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> TaskResult:
+        return self.send(item for batch in iterator for item in batch.column("item").to_pylist())
+
+
 class KeyedBatchSink(DataSource):
     @classmethod
     def name(cls) -> str:
         return "keyed_batches"
 
-    def writer(self, schema: StructType, overwrite: bool) -> BatchWriter:
-        return BatchWriter(dict(self.options))
+    def writer(self, schema: StructType, overwrite: bool) -> ArrowBatchWriter:
+        return ArrowBatchWriter(dict(self.options))
 
 
 def put_items(encoded: DataFrame, table: str, folder: str, client: str = "folder", argument: str | None = None,
@@ -208,11 +232,12 @@ def put_items(encoded: DataFrame, table: str, folder: str, client: str = "folder
 
 def read_put_items(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """The encoded items that the folder client holds: the last put of each key, since a repeated
-    task puts its items again."""
-    puts = spark.read.text(f"{folder}/items/{table}").select(
-        F.col("value").alias("item"),
-        decode_attribute("value", "PK", "S").alias("PK"),
-        decode_attribute("value", "SK", "S").alias("SK"),
-        F.col("_metadata.file_modification_time").alias("at"),
+    task puts its items again. A line that a stopped task left without its time is no put."""
+    lines = spark.read.text(f"{folder}/items/{table}").filter(F.col("value").rlike(r"\t[0-9]{19}$"))
+    puts = lines.select(
+        F.substring_index("value", "\t", 1).alias("item"), F.substring_index("value", "\t", -1).cast("bigint").alias("at")
     )
-    return latest(puts, ["at", "item"]).select("item")
+    keys = StructType([StructField(k, StringType()) for k in KEYS])
+    # Few keys are put twice: rows are moved once and sorted once, not reduced before that.
+    placed = decode_items(puts, keys, keep=("item", "at")).repartition(*KEYS)
+    return latest(placed, ["at", "item"]).select("item")

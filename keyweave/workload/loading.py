@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from keyweave.functions import composite_key
-from keyweave.functions.codec import decode_attribute, encode_items
+from keyweave.functions.codec import decode_items, encode_items
 from keyweave.operators import ledger
 from keyweave.operators.catalog import table_counts
 from keyweave.operators.ordering import batches, resume_after
@@ -66,8 +66,8 @@ def retrying_sink(spark, sf_dir):
     items = playlist_data(store_tables(spark, sf_dir), STAMP)
     folder = scratch_path(spark, "sink")
     outcome = put_items(encode_items(items), "playlist_data", folder)
-    keys = [decode_attribute("item", c, "S").alias(c) for c in ("PK", "SK", "EntityType")]
-    stored = read_put_items(spark, folder, "playlist_data").select(*keys)
+    keys = items.select("PK", "SK", "EntityType").schema
+    stored = decode_items(read_put_items(spark, folder, "playlist_data"), keys)
     return stored.select(
         "*",
         outcome.select("written").scalar().alias("written"),

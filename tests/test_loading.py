@@ -120,6 +120,20 @@ def test_sink_from_spark(spark, tmp_path):
     assert sink.read_put_items(spark, folder, "employee_data").distinct().count() == 60
 
 
+def test_the_folder_client_keeps_one_file_a_task_and_the_last_put(spark, tmp_path):
+    def item(pk, value):
+        return json.dumps({"PK": {"S": pk}, "SK": {"S": "1"}, "Name": {"S": value}})
+
+    client = sink.FolderClient(str(tmp_path / "items"))
+    for value in ("z", "y", "a"):
+        client.put("t", [item("p", value), item(f"q{value}", "tab\t")])
+    (name,) = os.listdir(tmp_path / "items" / "t")
+    with open(tmp_path / "items" / "t" / name, "a") as f:
+        f.write(item("p", "cut off")[:-3])
+    found = sorted(r.item for r in sink.read_put_items(spark, str(tmp_path), "t").collect())
+    assert found == sorted([item("p", "a"), *[item(f"q{v}", "tab\t") for v in "zya"]])
+
+
 def test_collection_store(spark, tmp_path):
     store = CollectionStore(spark, str(tmp_path), prefix="store_test_")
     first, second = items(spark, ("a", "1", 1)), items(spark, ("a", "1", 2), ("b", "1", 3))
