@@ -19,12 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyweave.operators.joins import comparable_columns
+from keyweave.operators.joins import comparable_columns, frequent_keys
 from keyweave.operators.upsert import latest
-from keyweave.session import scratch_path, shuffle_partitions
+from keyweave.session import exceeds_partition, scratch_path, shuffle_partitions
 from keyweave.sources.files import Files
 
-BUCKET = "__bucket"
+BUCKET, SIDE = "__bucket", "__side"
+
+# What a row does in a put; of one key the highest is kept.
+STAYS, GONE, PUT = 0, 1, 2
 
 
 class Conflict(RuntimeError):
@@ -77,24 +80,37 @@ class Snapshots:
         values = F.xxhash64(*[F.lit(v) for v in key])
         return self.spark.range(1).select(F.pmod(values, F.lit(buckets)).cast("int")).first()[0]
 
-    def _write(self, rows: DataFrame) -> tuple[str, set[int]]:
-        """Rows with their bucket as one write; returns its name and the buckets it has."""
+    def _write(self, rows: DataFrame, buckets: int, order: Sequence[str]) -> tuple[str, set[int]]:
+        """The row that comes last in ``order`` of each key, but those that take their key out, as one write;
+        returns its name and the buckets it has.
+
+        A bucket is one task. Rows are moved once, by bucket, and sorted once: the choice of the row and the
+        files use the same order.
+        """
         name = uuid.uuid4().hex
-        order = [BUCKET, *self.order]
-        rows.repartitionByRange(shuffle_partitions(rows), *order).sortWithinPartitions(*order).withColumnRenamed(
-            BUCKET, "bucket"
-        ).write.partitionBy("bucket").parquet(f"{self.path}/data/{name}")
+        newest = latest(rows.repartitionById(buckets, BUCKET), order, (BUCKET, *self.keys))
+        newest = newest.filter(F.col(SIDE) != GONE).drop(SIDE).sortWithinPartitions(BUCKET, *self.order)
+        newest.withColumnRenamed(BUCKET, "bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{name}")
         found = Files(self.spark, f"{self.path}/data/{name}").names()
         return name, {int(n.removeprefix("bucket=")) for n in found if n.startswith("bucket=")}
 
-    def _reduced(self, rows: DataFrame, version: Sequence[str] = ()) -> DataFrame:
-        others = [c for c in comparable_columns(rows) if c not in {*self.keys, *version}]
-        return latest(rows, [*version, *others], self.keys)
+    def _order(self, rows: DataFrame, version: Sequence[str] = ()) -> list[str]:
+        """Which of several rows of a key is kept: by side, version, then all other columns."""
+        others = [c for c in comparable_columns(rows) if c not in {*self.keys, *version, BUCKET, SIDE}]
+        return [SIDE, *version, *others]
+
+    def _incoming(self, rows: DataFrame, buckets: int, order: Sequence[str]) -> DataFrame:
+        """Rows with their bucket, stored. Copies of a key that holds a large share of them do not go on."""
+        kept = self._kept(rows.withColumns({BUCKET: self._bucket(buckets), SIDE: F.lit(PUT)}))
+        if exceeds_partition(kept) and frequent_keys(kept, F.xxhash64(*self.keys)):
+            return self._kept(latest(kept, order, (BUCKET, *self.keys)))
+        return kept
 
     def create(self, rows: DataFrame, buckets: int | None = None, note: dict | None = None) -> int:
         """A version with exactly these rows; earlier versions stay readable."""
         buckets = buckets or shuffle_partitions(rows)
-        write, there = self._write(self._reduced(rows).withColumn(BUCKET, self._bucket(buckets)))
+        order = self._order(rows)
+        write, there = self._write(self._incoming(rows, buckets, order), buckets, order)
         parts = {str(b): write for b in sorted(there)}
         last = self.current()
         manifest = {"buckets": buckets, "schema": rows.schema.json(), "parts": parts, "note": note or {}}
@@ -138,20 +154,21 @@ class Snapshots:
         buckets, schema = old["buckets"], _schema(old)
         rows = self.spark.createDataFrame([], schema) if rows is None else rows
         schema = _merged(schema, rows.schema)
-        incoming = self._kept(self._reduced(rows, version).withColumn(BUCKET, self._bucket(buckets)))
-        gone = incoming.select(BUCKET, *self.keys)
+        order = self._order(rows, version)
+        incoming = self._incoming(rows, buckets, order)
+        gone = None
+        there = incoming.select(BUCKET)
         if removed is not None:
-            gone = self._kept(
-                gone.unionByName(removed.select(*self.keys).distinct().withColumn(BUCKET, self._bucket(buckets))).distinct()
-            )
-        touched = [r[0] for r in gone.select(BUCKET).distinct().collect()]  # as many as there are buckets at most
+            marks = {BUCKET: self._bucket(buckets), SIDE: F.lit(GONE)}
+            gone = self._kept(removed.select(*self.keys).distinct().withColumns(marks))
+            there = there.unionByName(gone.select(BUCKET))
+        touched = [r[0] for r in there.distinct().collect()]  # as many as there are buckets at most
         parts = dict(old["parts"])
         if touched:
-            existing = self.read(base, touched).withColumn(BUCKET, self._bucket(buckets))
-            # A key is in either side once at most.
-            stay = existing.join(gone.select(*self.keys), list(self.keys), "left_anti")
-            content = stay.unionByName(incoming, allowMissingColumns=True)
-            write, there = self._write(content.select(BUCKET, *[f.name for f in schema]))
+            content = self.read(base, touched).withColumns({BUCKET: self._bucket(buckets), SIDE: F.lit(STAYS)})
+            for more in (incoming,) if gone is None else (incoming, gone):
+                content = content.unionByName(more, allowMissingColumns=True)
+            write, there = self._write(content.select(BUCKET, SIDE, *[f.name for f in schema]), buckets, order)
             for b in touched:
                 parts.pop(str(b), None)
             parts |= {str(b): write for b in there}

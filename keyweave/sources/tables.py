@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keyweave.operators.access import index_items
 from keyweave.operators.upsert import KEYS
-from keyweave.session import scratch_path
+from keyweave.session import scratch_path, stored
 from keyweave.sources.files import Files
 from keyweave.sources.snapshots import Snapshots
 from keyweave.specs import IndexSpec
@@ -148,6 +148,7 @@ class CollectionStore:
         """
         store = self.items(name)
         version = store.current()
+        changes: dict[int, DataFrame] = {}
         for index in self.indexes(name) if indexes is None else indexes:
             target = self._index(name, index)
             at = target.manifest()["note"]["version"]
@@ -156,7 +157,10 @@ class CollectionStore:
             if index.partition not in store.read(version).columns:
                 target.create(target.read().limit(0), note=_note(index, version))
                 continue
-            changed = store.changes(at, version)
+            # Found once, for all indexes of that version and for both sides of a put.
+            if at not in changes:
+                changes[at] = stored(store.changes(at, version), "changes")
+            changed = changes[at]
             there = changed.filter(_in_index(F.col("old"), index)).select(f"old.{index.partition}", *KEYS)
             now = changed.filter(_in_index(F.col("new"), index)).select("new.*")
             target.put(now, removed=there, note=_note(index, version))

@@ -4,8 +4,10 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from keyweave.operators.access import query_index
+from keyweave.plans.store import INDEX1, INDEX2
 from keyweave.sources.files import Files
 from keyweave.sources.snapshots import Conflict, Snapshots
 from keyweave.sources.tables import CollectionStore
@@ -176,3 +178,29 @@ def test_recreated_and_dropped_collections(spark, store):
     store.drop("c")
     store.drop("c")
     assert not store.exists("c") and store.indexes("c") == []
+
+
+def test_a_put_replaces_keys_with_null_parts_and_reduces_frequent_ones(spark, skewed, tmp_path):
+    schema = "k string, s string, v bigint"
+    store = Snapshots(spark, str(tmp_path), ("k", "s"))
+    with skewed():
+        store.create(spark.createDataFrame([("a", None, 1), ("b", "1", 1), ("c", "1", 1)], schema), 3)
+        hot = spark.range(3000).select(F.lit("b").alias("k"), F.lit("1").alias("s"), F.col("id").alias("v"))
+        more = spark.createDataFrame([("a", None, 2), ("d", "1", 5)], schema)
+        store.put(hot.unionByName(more), removed=spark.createDataFrame([("c", "1"), ("d", "1")], "k string, s string"), version=("v",))
+        found = sorted(map(tuple, store.read().collect()))
+    assert found == [("a", None, 2), ("b", "1", 2999), ("d", "1", 5)]
+
+
+def test_changes_are_found_once_for_all_indexes(spark, monkeypatch, tmp_path):
+    store = CollectionStore(spark, str(tmp_path))
+    schema = "PK string, SK string, GSI1PK string, GSI1SK string, GSI2PK string, GSI2SK string"
+    store.create("c", spark.createDataFrame([("a", "1", "x", "1", "y", "1"), ("b", "1", "x", "2", "y", "2")], schema))
+    for index in (INDEX1, INDEX2):
+        store.add_index("c", index)
+    asked, changes = [], Snapshots.changes
+    monkeypatch.setattr(Snapshots, "changes", lambda self, *at: asked.append(at) or changes(self, *at))
+    store.upsert("c", spark.createDataFrame([("a", "1", "z", "1", None, None)], schema))
+    assert sorted(r.GSI1PK for r in store.read_index("c", INDEX1).collect()) == ["x", "z"]
+    assert [r.PK for r in store.read_index("c", INDEX2).collect()] == ["b"]
+    assert asked == [(0, 1)]
