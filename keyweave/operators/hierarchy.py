@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from keyweave.functions.keys import is_linked
 from keyweave.operators.joins import keyed_join, one_row_per_key
-from keyweave.session import materialize, scratch_path, shuffle_partitions, stored
+from keyweave.session import scratch_path, shuffle_partitions, stored
 
 
 def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
@@ -23,19 +23,20 @@ def depths(df: DataFrame, key: str, parent: str) -> DataFrame:
     """
     nodes = df.select(F.col(key).alias("node"), F.when(is_linked(parent), F.col(parent)).alias("up"))
     nodes = one_row_per_key(nodes, ["node"], [F.col("up").desc_nulls_last()])
-    return _chain_ends(nodes).withColumnRenamed("node", key)
+    return chain_ends(nodes).withColumnRenamed("node", key)
 
 
-def _chain_ends(nodes: DataFrame) -> DataFrame:
+def chain_ends(nodes: DataFrame) -> DataFrame:
     """``depths`` of distinct rows (``node``, ``up``); any value but NULL is a link."""
     known = nodes.select(F.col("node").alias("known"))
     existing = keyed_join(nodes, known.withColumn("found", F.lit(True)), "up", "known", rows_of=nodes)
-    chains = materialize(
+    chains = stored(
         existing.select(
             "node",
             F.when(F.col("found"), F.col("up")).alias("up"),
             F.when(F.col("found"), 1).otherwise(0).cast("bigint").alias("steps"),
-        )
+        ),
+        "chains",
     )
     # Invariant: ``up`` is the ancestor ``steps`` above the node; a root points to nothing.
     ends = chains.filter(F.col("up").isNull()).select("node", F.col("node").alias("root"), F.lit(0).cast("bigint").alias("depth"))
@@ -51,10 +52,11 @@ def _chain_ends(nodes: DataFrame) -> DataFrame:
         longer = active.select(
             F.col("node").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"), F.lit(False).alias("ended")
         )
-        stepped = materialize(
+        stepped = stored(
             keyed_join(active, finished.unionByName(longer), "up", "at", rows_of=nodes).select(
                 "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), "ended"
-            )
+            ),
+            "chains",
         )
         done = done.unionByName(
             stepped.filter("ended").select("node", F.col("up").alias("root"), F.col("steps").alias("depth"))
@@ -86,7 +88,7 @@ def layers(nodes: DataFrame, edges: DataFrame, buckets: int | None = None) -> Da
     # Both sides have a node once. Where a node has one need it hangs on it, all others are ends of chains.
     counted = stored(names.join(counts, "node", "left").withColumn("open", F.coalesce("open", F.lit(0))), "needs")
     hanging = counted.select("node", F.when(F.col("open") == 1, F.col("one")).alias("up"))
-    chains = stored(_chain_ends(hanging), "chains")
+    chains = stored(chain_ends(hanging), "chains")
     freed = _free(links, counted, chains, buckets or shuffle_partitions(nodes))
     ends = freed.select(F.col("node").alias("end"), F.col("layer").alias("end_layer"))
     placed = keyed_join(chains, ends, "root", "end", rows_of=names).select(

@@ -1,35 +1,48 @@
 """Subtrees of a hierarchy as ranges of labels.
 
 Walking around every tree (each node entered, its children visited, the node left) gives every node an
-interval that holds exactly the nodes below it. The walk is a linked list of two arcs a node; its order
-comes from pointer doubling, so a tree of any depth takes log2(arcs) joins, and no join has a hot key:
-each arc follows exactly one other. A subtree is then a range that a scan prunes, and any total over
-subtrees is the difference of two running totals.
+interval that holds exactly the nodes below it. A subtree is then a range that a scan prunes, and any total
+over subtrees is the difference of two running totals.
+
+In trees of few levels the sizes of subtrees go up and the labels down level by level, so each node takes
+part in two small joins. In deeper ones the walk is a linked list of two arcs a node; its order comes from
+pointer doubling, so a tree of any depth takes log2(arcs) joins, and no join has a hot key: each arc follows
+exactly one other.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyweave.functions.keys import is_linked
+from keyweave.operators.hierarchy import chain_ends
 from keyweave.operators.joins import keyed_join, one_row_per_key
 from keyweave.operators.ordering import with_group_positions
-from keyweave.session import stored
+from keyweave.session import scratch_path, stored
 
 #: Labels of one block of running totals; the totals of all blocks pass through one window.
 TOTALS_BLOCK = 1 << 20
 
 
-def _tree(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """Nodes with their parent (NULL without one that is a node), and their place among its children."""
+#: Levels up to which labels are given level by level.
+LEVELS = 48
+
+
+def _nodes(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """Distinct nodes with their link."""
     numeric = isinstance(df.schema[parent].dataType, T.NumericType)
     linked = is_linked(parent) if numeric else F.col(parent).isNotNull()
     nodes = df.select(F.col(key).alias("node"), F.when(linked, F.col(parent)).alias("up")).filter("node IS NOT NULL")
-    nodes = one_row_per_key(nodes, ["node"], [F.col("up").desc_nulls_last()])
+    return one_row_per_key(nodes, ["node"], [F.col("up").desc_nulls_last()])
+
+
+def _tree(nodes: DataFrame) -> DataFrame:
+    """Nodes with their parent (NULL without one that is a node), and their place among its children."""
     known = nodes.select(F.col("node").alias("known"), F.lit(True).alias("found"))
     met = keyed_join(nodes, known, "up", "known", rows_of=nodes)
     nodes = met.select("node", F.when(F.col("found"), F.col("up")).alias("up"))
@@ -65,10 +78,60 @@ def subtree_labels(df: DataFrame, key: str, parent: str) -> DataFrame:
     Labels run from 0 without gaps; children of a node come by key. A node without a link, or whose parent is
     no node, is a root. Nodes on a cycle or below one have NULL labels. Repeated keys count once, NULL keys not.
     """
+    nodes = stored(_nodes(df, key, parent), "nodes")
+    ends = stored(chain_ends(nodes), "depths")
+    deepest = ends.agg(F.max("depth")).first()[0] or 0
+    if deepest < LEVELS:
+        labels = _labels_by_level(nodes, ends, deepest)
+        nothing = F.lit(None).cast("bigint")
+        labels = labels.unionByName(
+            ends.filter("depth IS NULL").select("node", nothing.alias("first"), nothing.alias("last"), "depth")
+        )
+    else:
+        labels = _labels_by_walk(nodes)
+    return stored(labels.withColumnRenamed("node", key), "labels")
+
+
+def _labels_by_level(nodes: DataFrame, ends: DataFrame, deepest: int) -> DataFrame:
+    """Sizes from the lowest level up, then labels from the roots down; a step reads one level and its neighbour."""
+    spark = nodes.sparkSession
+    path = scratch_path(spark, "levels")
+    # Both sides have a node once; a node of depth 0 is a root, whatever its link says.
+    placed = nodes.join(ends.filter("depth IS NOT NULL").select("node", "depth"), "node")
+    placed.select("node", F.when(F.col("depth") > 0, F.col("up")).alias("up"), "depth").write.partitionBy("depth").parquet(path)
+    levels = spark.read.schema(T.StructType([*nodes.schema, T.StructField("depth", T.LongType())])).parquet(path)
+    sized = []
+    for level in range(deepest, -1, -1):
+        here = levels.filter(F.col("depth") == level)
+        if sized:
+            below = sized[-1].groupBy("up").agg(F.sum("size").alias("all")).select(F.col("up").alias("of"), "all")
+            here = keyed_join(here, below, "node", "of", rows_of=nodes).withColumn("size", F.coalesce("all", F.lit(0)) + 1).drop("all")
+        else:
+            here = here.withColumn("size", F.lit(1).cast("bigint"))
+        sized.append(stored(here, "sizes"))
+    # A node comes behind its parent and all that is below its earlier siblings.
+    path = scratch_path(spark, "siblings")
+    siblings = with_group_positions(reduce(DataFrame.unionByName, sized), ["up"], ["node"], weight="size", name="before")
+    siblings.write.partitionBy("depth").parquet(path)
+    siblings = spark.read.schema(siblings.schema).parquet(path)
+    found = []
+    for level in range(deepest + 1):
+        here = siblings.filter(F.col("depth") == level)
+        if found:
+            above = found[-1].select(F.col("node").alias("of"), F.col("first").alias("start"))
+            here = keyed_join(here, above, "up", "of", rows_of=nodes).withColumn("first", F.col("start") + 1 + F.col("before"))
+        else:
+            here = here.withColumn("first", F.col("before"))
+        last = F.col("first") + F.col("size") - 1
+        found.append(stored(here.select("node", "first", last.alias("last"), "depth"), "firsts"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _labels_by_walk(nodes: DataFrame) -> DataFrame:
     entered = F.when(F.col("leave"), 0).otherwise(1).cast("bigint")
     step = F.when(F.col("leave"), -1).otherwise(1).cast("bigint")
     # ``ahead`` and ``rise``: nodes entered, and levels gone down, from this arc up to before its pointer.
-    lists = stored(_arcs(_tree(df, key, parent)).withColumns({"ahead": entered, "rise": step}), "arcs")
+    lists = stored(_arcs(_tree(nodes)).withColumns({"ahead": entered, "rise": step}), "arcs")
     done = lists.filter("next IS NULL").select("node", "leave", "ahead", "rise")
     active = lists.filter("next IS NOT NULL")
     rounds = math.ceil(math.log2(max(2, lists.count()))) + 1
@@ -101,7 +164,7 @@ def subtree_labels(df: DataFrame, key: str, parent: str) -> DataFrame:
     )
     nothing = F.lit(None).cast("bigint")
     looping = active.filter("NOT leave").select("node", nothing.alias("first"), nothing.alias("last"), nothing.alias("depth"))
-    return stored(labels.unionByName(looping).withColumnRenamed("node", key), "labels")
+    return labels.unionByName(looping)
 
 
 def write_labels(labels: DataFrame, path: str) -> None:

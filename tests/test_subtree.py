@@ -51,6 +51,18 @@ def test_labels(spark, kind):
     assert found == walked(rows)
 
 
+@pytest.mark.parametrize("forced", [False, True])
+def test_few_levels_need_no_walk(spark, skewed, monkeypatch, forced):
+    rows = forest("star") + [(100 + i, i) for i in range(5, 50)] + [(300, 301), (301, 300)]
+    monkeypatch.setattr(st, "_arcs", None)
+    if forced:
+        with skewed():
+            found = {r.id: (r.first, r.last, r.depth) for r in labelled(spark, rows).collect()}
+    else:
+        found = {r.id: (r.first, r.last, r.depth) for r in labelled(spark, rows).collect()}
+    assert found == walked(rows)
+
+
 def test_text_keys_and_an_empty_table(spark):
     df = spark.createDataFrame([("b", "a"), ("a", None), ("c", "a"), (None, "a")], "id string, boss string")
     found = {r.id: (r.first, r.last, r.depth) for r in subtree_labels(df, "id", "boss").collect()}
