@@ -2,6 +2,7 @@ import pytest
 
 from keyweave.operators import hierarchy
 from keyweave.operators.hierarchy import depths, layers
+from keyweave.session import estimated_bytes
 
 
 def run_depths(spark, pairs):
@@ -112,3 +113,10 @@ def test_layers_take_a_node_named_zero(spark):
     df = spark.createDataFrame([(0,), (1,), (2,)], "node bigint")
     links = spark.createDataFrame([(1, 0), (2, 1)], "node bigint, needs bigint")
     assert {r["node"]: r["layer"] for r in layers(df, links).collect()} == {0: 0, 1: 1, 2: 2}
+
+
+def test_rounds_do_not_multiply_the_estimated_size(spark):
+    chain = spark.range(1, 65).selectExpr("id", "id - 1 AS boss")
+    found = depths(chain, "id", "boss")
+    assert estimated_bytes(found) < 1 << 20
+    assert found.agg({"depth": "max"}).first()[0] == 63
