@@ -66,6 +66,22 @@ def test_chains_groups_and_shared_passages(spark, monkeypatch, list_length, bloc
     assert sorted(tuple(r) for r in near_copies(docs, 4, 80, k).collect()) == brute(rows, 4, 80)
 
 
+def test_texts_that_take_no_part_are_not_moved(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(200)] + [(None, "a b c d e"), (500, "a b c d f"), (501, "a b c d e")]
+    rows += [(600 + i, "p q r s t u v w x y z " * 2 + f"end{i}") for i in range(3)]
+    steps, store = {}, m.stored
+    monkeypatch.setattr(m, "stored", lambda df, name: steps.setdefault(name, df) and store(df, name))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_copies(docs, 4, 80).collect()}
+    assert found[601] == found[602] == 600 and found[500] == 500 and found[None] is found[501] is None
+    # The texts meet a bitmap of fixed size before the join that moves them.
+    assert "bitmap_construct_agg" in steps["hashes"]._jdf.queryExecution().optimizedPlan().toString()
+    ids = spark.createDataFrame([(3,), (m.NULL_ID,)], "doc long")
+    texts = docs.selectExpr(f"coalesce(doc_id, {m.NULL_ID}) AS doc", "text")
+    assert {r.doc for r in m._possible(texts, ids).collect()} == {3, m.NULL_ID}
+    assert m._possible(texts, ids.limit(0)).count() == 0
+
+
 def test_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (3, "A b c d e"), (4, None)], "doc_id long, text string")
     found = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_copies(docs).collect()}
