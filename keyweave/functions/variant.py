@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyweave.functions.codec import _plain, wire_type
 from keyweave.functions.sparse import drop_empty
 
 
@@ -82,8 +83,9 @@ def _read(item: Column, at: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         return F.variant_get(item, f"{at}{_step('N')}", "string").cast(dtype)
     if isinstance(dtype, T.ArrayType):
-        elements = F.variant_get(item, f"{at}{_step('L')}", "array<variant>")
-        return F.transform(elements, lambda e: _read(e, "$", dtype.elementType))
+        # A list is read by one cast: a path for each part would walk through every element again.
+        tagged = wire_type(dtype)
+        return _plain(F.struct(F.variant_get(item, f"{at}{_step('L')}", _quoted(tagged["L"].dataType)).alias("L")), dtype, None)
     if isinstance(dtype, T.MapType):
         entries = F.variant_get(item, f"{at}{_step('M')}", "map<string,variant>")
         return F.transform_values(entries, lambda _, v: _read(v, "$", dtype.valueType))
@@ -100,5 +102,16 @@ def decode_wire(df: DataFrame, schema: T.StructType, item: str = "item", keep: S
     return parsed.select(*keep, *[wire_attribute(F.col("__variant"), [f.name], f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _quoted(dtype: T.DataType) -> str:
+    """The type as text with every field name quoted."""
+    if isinstance(dtype, T.StructType):
+        return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:{_quoted(f.dataType)}" for f in dtype.fields) + ">"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{_quoted(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"map<{_quoted(dtype.keyType)},{_quoted(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
 def _ddl(dtype: str | T.DataType) -> str:
     return dtype if isinstance(dtype, str) else dtype.simpleString()

@@ -63,3 +63,16 @@ def test_names_in_paths(spark):
     assert tuple(df.select(*[attribute("v", n, "int") for n in ("a.b", "it's", "$x")]).first()) == (1, 2, 3)
     with pytest.raises(ValueError):
         path("both ' and \"")
+
+
+def test_lists_are_read_by_one_cast(spark):
+    schema = "PK string, lines array<struct<`it's a.b`:bigint,B:struct<`x``y`:array<boolean>,b:string>,m:map<string,bigint>>>"
+    rows = [("a", [(EXACT, ([True, None], "t"), {"k.v": None, "w": 2}), (None, None, None), None]), ("b", []), ("c", None)]
+    items = spark.createDataFrame(rows, schema)
+    encoded = encode_items(items)
+    decoded = decode_wire(encoded, items.schema)
+    expected = decode_items(encoded, items.schema)
+    assert decoded.collect() == expected.collect() and decoded.schema == expected.schema
+    assert decoded.filter("PK = 'a'").first().lines[0][0] == EXACT
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get") == 2  # one for PK, one for the whole list; there was one for each part
