@@ -64,12 +64,14 @@ def faults(items: DataFrame, spec: CollectionSpec, columns: list[Column]) -> Dat
     """Counted faults with one example key each.
 
     Items are counted by their combination of faults, in one aggregation that makes no list for an item; the
-    few combinations are taken apart afterwards.
+    few combinations are taken apart afterwards. Spark sorts the rows of which it takes the least text, so items
+    without a fault, which give no row, are left out before.
     """
     names = [f"__fault{n}" for n in range(len(columns))]
     example = F.col(spec.partition) if spec.partition in items.columns else F.lit(None).cast("string")
     combined = (
         items.select(example.alias("__example"), *[c.alias(n) for c, n in zip(columns, names)])
+        .filter(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names], F.lit(False)))
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("items"), F.min("__example").alias("example"))
     )

@@ -84,6 +84,18 @@ def test_every_bad_item_is_found(spark, tables, built):
     }
 
 
+def test_sound_items_are_not_sorted_for_an_example(spark, built):
+    items, spec = built["customer_data"], COLLECTIONS["customer_data"]
+    broken = items.withColumn("CreatedAt", F.when(F.col("PK") != items.agg(F.min("PK")).scalar(), F.col("CreatedAt")))
+    found = reconcile.item_faults(broken.unionByName(items.limit(0)), spec)
+    least = broken.filter("CreatedAt IS NULL").agg(F.count("*"), F.min("PK")).first()
+    assert [tuple(r) for r in found.collect()] == [("customer_data", "required", "missing CreatedAt", *least)]
+    # The lower aggregation, to which items go, has only those with a fault below it.
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "Filter" in plan.split("Aggregate")[2].split("Project")[0]
+    assert reconcile.item_faults(items, spec).count() == 0
+
+
 def test_absent_columns_count_as_absent_attributes(spark):
     items = spark.createDataFrame([("EMPLOYEE#1", "PROFILE", "EmployeeProfile", "A", "B")], "PK string, SK string, EntityType string, FirstName string, LastName string")
     found = [r["message"] for r in reconcile.item_faults(items, COLLECTIONS["employee_data"]).collect()]
