@@ -55,6 +55,42 @@ def test_empty_and_overflow(spark):
         top_k(data.selectExpr("vec_id", "array(1e8D) AS embedding"), F.lit(True))
 
 
+def test_what_moves_and_stays_grows_with_groups_not_with_blocks(spark, monkeypatch):
+    monkeypatch.setattr(m, "CELL_ROWS", 8)
+    monkeypatch.setattr(m, "QUERY_ROWS", 4)
+    kept = {}
+
+    def noted(df, name, stored=m.stored):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(m, "stored", noted)
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(600)]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 3 == 0, k=4).collect()
+    assert sorted(tuple(r) for r in found) == brute(rows, 4)
+    # 75 blocks of the file or more: five bounds or more of each for each of the 200 queries would stay.
+    assert kept["cells"].count() >= 75 and kept["bounds"].count() < 200 * 75 * 5 / 2
+
+
+@pytest.mark.parametrize("limit", ["HELD_BOUNDS", "HELD_QUERIES", "HELD_BYTES", "TASK_PAIRS"])
+def test_small_limits_change_nothing(spark, monkeypatch, limit):
+    monkeypatch.setattr(m, limit, 64)
+    monkeypatch.setattr(m, "CELL_ROWS", 16)
+    monkeypatch.setattr(m, "QUERY_ROWS", 5)
+    rng = random.Random(limit)
+    rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 1e5]) * rng.random() for _ in range(3)]) for i in range(90)] + [(100 + i, [float(i)]) for i in range(9)]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 3 == 0, k=3).collect()
+    assert sorted(tuple(r) for r in found) == brute(rows, 3)
+
+
+def test_groups():
+    assert m.groups(0, 0, 0, 24) == (16, 1)
+    for entries, queries, parts in ((2000, 40, 12), (615_384, 12_312, 600), (15_000_000, 300_000, 600), (10, 10_000_000, 24)):
+        of_file, of_queries = m.groups(entries, queries, 64, parts)
+        assert queries / of_queries <= m.HELD_QUERIES and of_file * of_queries >= min(parts, 16)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     v, q = rng.integers(-200, 200, (50, 8)), rng.integers(-200, 200, (7, 8)).astype(float)
