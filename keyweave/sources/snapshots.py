@@ -80,14 +80,16 @@ class Snapshots:
         values = F.xxhash64(*[F.lit(v) for v in key])
         return self.spark.range(1).select(F.pmod(values, F.lit(buckets)).cast("int")).first()[0]
 
-    def _write(self, rows: DataFrame, buckets: int, order: Sequence[str]) -> tuple[str, set[int]]:
+    def _write(self, rows: DataFrame, buckets: int | None = None, order: Sequence[str] | None = None) -> tuple[str, set[int]]:
         """The row that comes last in ``order`` of each key, but those that take their key out, as one write;
         returns its name and the buckets it has.
 
         A bucket is one task. Rows are moved once, by bucket, and sorted once: the choice of the row and the
-        files use the same order.
+        files use the same order. Rows without a side are put.
         """
         name = uuid.uuid4().hex
+        rows = rows if SIDE in rows.columns else rows.withColumn(SIDE, F.lit(PUT))
+        buckets, order = buckets or shuffle_partitions(rows), self._order(rows) if order is None else order
         newest = latest(rows.repartitionById(buckets, BUCKET), order, (BUCKET, *self.keys))
         newest = newest.filter(F.col(SIDE) != GONE).drop(SIDE).sortWithinPartitions(BUCKET, *self.order)
         newest.withColumnRenamed(BUCKET, "bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{name}")
